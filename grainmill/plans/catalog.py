@@ -1,0 +1,19 @@
+"""The named queries of the core and their SQL counterparts."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
