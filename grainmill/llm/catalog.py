@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import copies
+from . import copies, near
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p2_found": lambda s, d: copies.copies_found(table(s, d, "standard_docs")),
+        "p7_found": lambda s, d: near.near_found(table(s, d, "standard_docs")),
         "p2_copies": lambda s, d: copies.collapse_copies(table(s, d, "standard_docs")),
     }
 
