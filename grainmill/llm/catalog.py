@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import copies, leaks, near, repetition
+from . import copies, encode, leaks, near, repetition
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p7_found": lambda s, d: near.near_found(table(s, d, "standard_docs")),
         "p3_found": lambda s, d: repetition.repetition_found(table(s, d, "standard_docs")),
         "p3_repetition": lambda s, d: repetition.repetition(table(s, d, "standard_docs")),
+        "p8_ids": lambda s, d: encode.encode(table(s, d, "documents")),
+        "p8_round_trip": lambda s, d: encode.round_trip(table(s, d, "documents")),
         "p9_found": lambda s, d: leaks.leaks_found(table(s, d, "documents"), table(s, d, "eval_items")),
         "p2_copies": lambda s, d: copies.collapse_copies(table(s, d, "standard_docs")),
     }
