@@ -6,16 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import copies, encode, leaks, near, repetition
+from . import copies, encode, groups, leaks, near, repetition
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _matches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return tuple(table(spark, sf_dir, name) for name in ("dup_pairs", "file_info", "standard_docs"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p2_found": lambda s, d: copies.copies_found(table(s, d, "standard_docs")),
+        "p4_found": lambda s, d: groups.groups_found(*_matches(s, d)),
+        "p4_group_sources": lambda s, d: groups.group_sources(*_matches(s, d)),
         "p7_found": lambda s, d: near.near_found(table(s, d, "standard_docs")),
         "p3_found": lambda s, d: repetition.repetition_found(table(s, d, "standard_docs")),
         "p3_repetition": lambda s, d: repetition.repetition(table(s, d, "standard_docs")),

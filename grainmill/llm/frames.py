@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .letters import slices
+from .letters import mix, slices
 
 
 def named(df: DataFrame, **columns: str) -> DataFrame:
@@ -39,6 +40,43 @@ def map_texts(df: DataFrame, work: Callable, schema: str, text: str = "text") ->
     return df.mapInArrow(run, schema)
 
 
+#: Bits of the map of wanted ids; 4 MB, however many ids there are.
+_ID_BITS = 1 << 25
+
+
+def _bit_of(ids: pa.Array) -> np.ndarray:
+    return (mix(ids.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) & np.uint64(_ID_BITS - 1)).astype(np.int64)
+
+
+def only_ids(df: DataFrame, wanted: DataFrame, id_col: str = "rec_id") -> DataFrame:
+    """The rows whose (non-null) id may be among ``wanted``: all that are and few others, without a shuffle of ``df``.
+
+    A bitmap of fixed size goes to every task; an exact join has to follow, but it moves only the rows that pass.
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(_ID_BITS, bool)
+        for batch in batches:
+            bits[_bit_of(batch.column(0))] = True
+        words = np.packbits(bits, bitorder="little").view(np.int64)
+        some = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(words[some])], ["at", "word"])
+
+    rows = wanted.select(F.col(id_col).cast("bigint").alias("id")).where("id is not null").mapInArrow(mark, "at bigint, word bigint").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
+    words = np.zeros(_ID_BITS // 64, np.int64)
+    words[rows.column("at").to_numpy()] = rows.column("word").to_numpy()
+    shared = df.sparkSession.sparkContext.broadcast(words.tobytes())
+    schema = df.schema
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            at = _bit_of(batch.column(id_col))
+            yield batch.filter(pa.array((bits[at >> 3] >> (at & 7)) & 1 == 1))
+
+    return df.where(F.col(id_col).isNotNull()).mapInArrow(keep, schema)
+
+
 def lang_code(lang: Column) -> Column:
     """Two-letter code of any of the spellings ``it``, ``IT``, ``it-IT``, ``ita_Latn``; others and null give ``und``."""
     low = F.lower(F.trim(lang))
@@ -52,3 +90,19 @@ def fixed_binary(column: pa.Array) -> bytes:
     """The bytes of an Arrow binary column without nulls, end to end."""
     flat = pa.concat_arrays([column]) if column.offset else column
     return b"".join(flat.to_pylist())
+
+
+#: A key with more rows than this is joined apart from the others.
+HOT_ROWS = 100_000
+
+
+def join_unique(rows: DataFrame, unique: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner join with a side that has one row per key, where a key may hold any share of ``rows``.
+
+    The at most (rows / hot_rows) hot keys are joined by broadcast, so their rows stay where they are.
+    """
+    hot = [tuple(r) for r in rows.groupBy(*on).count().where(F.col("count") > hot_rows).select(*on).collect()]
+    if not hot:
+        return rows.join(unique, on)
+    keys = F.broadcast(rows.sparkSession.createDataFrame(hot, rows.select(*on).schema))
+    return rows.join(keys, on, "left_anti").join(unique, on).unionByName(rows.join(F.broadcast(unique.join(keys, on, "left_semi")), on))
