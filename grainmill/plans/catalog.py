@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import compaction
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {
+        "p6_found": lambda s, d: compaction.compacted_keys(table(s, d, "small_files")),
+        "p6_records": lambda s, d: compaction.compacted_records(table(s, d, "small_files")),
+    }
 
 
 def oracle_sql() -> dict[str, str]:
