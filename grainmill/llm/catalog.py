@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import copies, encode, groups, leaks, near, repetition
+from . import copies, encode, groups, leaks, near, prose, repetition
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_found": lambda s, d: copies.copies_found(table(s, d, "standard_docs")),
         "p4_found": lambda s, d: groups.groups_found(*_matches(s, d)),
         "p4_group_sources": lambda s, d: groups.group_sources(*_matches(s, d)),
+        "p5_found": lambda s, d: prose.not_prose_found(table(s, d, "standard_docs")),
+        "p5_classes": lambda s, d: prose.classify(table(s, d, "standard_docs")),
         "p7_found": lambda s, d: near.near_found(table(s, d, "standard_docs")),
         "p3_found": lambda s, d: repetition.repetition_found(table(s, d, "standard_docs")),
         "p3_repetition": lambda s, d: repetition.repetition(table(s, d, "standard_docs")),
