@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import copies, encode, groups, leaks, near, prose, repetition
+from . import copies, encode, groups, leaks, near, prose, reading, repetition
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p8_ids": lambda s, d: encode.encode(table(s, d, "documents")),
         "p8_round_trip": lambda s, d: encode.round_trip(table(s, d, "documents")),
         "p9_found": lambda s, d: leaks.leaks_found(table(s, d, "documents"), table(s, d, "eval_items")),
+        "p10_found": lambda s, d: reading.demanding_found(table(s, d, "documents"), table(s, d, "reading_labels")),
+        "p10_levels": lambda s, d: reading.levels(table(s, d, "documents"), table(s, d, "reading_labels")),
         "p2_copies": lambda s, d: copies.collapse_copies(table(s, d, "standard_docs")),
     }
 

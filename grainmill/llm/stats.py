@@ -124,7 +124,8 @@ class Parsed:
         if not len(self.word_start):
             return np.zeros(0, bool)
         token = np.searchsorted(self.token_start, self.word_start, side="right") - 1
-        return among(self.word_hash, common_hashes()) & ~odd[token]
+        quoted = np.isin(self.raw[np.maximum(self.word_start - 1, 0)], [0x27, 0x2019]) & (self.word_start > self.ends[self.word_text])
+        return among(self.word_hash, common_hashes()) & ~odd[token] & ~quoted  # "ve" after an apostrophe is no word
 
     def prosy(self, common: np.ndarray, thai: np.ndarray) -> np.ndarray:
         """Which solid code points have common words around them, as every sentence does."""
