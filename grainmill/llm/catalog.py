@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import copies, encode, groups, leaks, near, prose, reading, repetition
+from . import budget, copies, encode, groups, leaks, near, prose, reading, repetition
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,9 @@ def _matches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Da
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "p1_token_budget": lambda s, d: budget.token_budget(table(s, d, "standard_docs")),
+        "p1_token_slices": lambda s, d: budget.token_slices(table(s, d, "standard_docs")),
+        "p1_documents_budget": lambda s, d: budget.token_budget(table(s, d, "documents")),
         "p2_found": lambda s, d: copies.copies_found(table(s, d, "standard_docs")),
         "p4_found": lambda s, d: groups.groups_found(*_matches(s, d)),
         "p4_group_sources": lambda s, d: groups.group_sources(*_matches(s, d)),
