@@ -1,0 +1,39 @@
+"""The stages put together: filter by language, remove near duplicates, find the consensus, report."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import consensus, dedup, quality, tokens
+from ..session import materialize
+
+
+def filtered(docs: DataFrame) -> DataFrame:
+    """Documents their language's rules keep, with the rewritten text."""
+    rows = quality.annotate_by_language(docs).where("reject_reason is null")
+    return rows.withColumn("text", F.col("filtered_text")).drop("reject_reason", "filtered_text")
+
+
+def curated(docs: DataFrame) -> DataFrame:
+    """Filtered and without near duplicates. The filtered table is written once; both later stages read it."""
+    return dedup.minhash_dedup(materialize(filtered(docs), "filtered"))
+
+
+def yields(docs: DataFrame) -> DataFrame:
+    """``source, documents, kept, deduplicated, tokens``: what each source gives at each stage."""
+    kept = materialize(filtered(docs), "filtered")
+    left = materialize(dedup.minhash_dedup(kept), "deduplicated")
+    key = F.coalesce("source", F.lit("")).alias("source")
+    a = docs.groupBy(key).agg(F.count("*").alias("documents"))
+    b = kept.groupBy(key).agg(F.count("*").alias("kept"))
+    c = left.groupBy(key).agg(F.count("*").alias("deduplicated"), F.sum(tokens.whitespace(F.col("text"))).alias("tokens"))
+    zero = lambda n: F.coalesce(n, F.lit(0)).cast("bigint").alias(n)
+    return a.join(b, "source", "left").join(c, "source", "left").select("source", "documents", zero("kept"), zero("deduplicated"), zero("tokens"))
+
+
+def consensus_of(docs: DataFrame, min_sources: int = 2, near: bool = True) -> DataFrame:
+    """Consensus of the filtered documents, of near or of equal texts. It reads them before near duplicates are removed,
+    since afterwards one copy of each is left."""
+    kept = materialize(filtered(docs), "filtered")
+    return consensus.minhash_consensus(kept, min_sources) if near else consensus.hash_consensus(kept, min_sources)
