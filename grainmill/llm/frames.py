@@ -90,19 +90,3 @@ def fixed_binary(column: pa.Array) -> bytes:
     """The bytes of an Arrow binary column without nulls, end to end."""
     flat = pa.concat_arrays([column]) if column.offset else column
     return b"".join(flat.to_pylist())
-
-
-#: A key with more rows than this is joined apart from the others.
-HOT_ROWS = 100_000
-
-
-def join_unique(rows: DataFrame, unique: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Inner join with a side that has one row per key, where a key may hold any share of ``rows``.
-
-    The at most (rows / hot_rows) hot keys are joined by broadcast, so their rows stay where they are.
-    """
-    hot = [tuple(r) for r in rows.groupBy(*on).count().where(F.col("count") > hot_rows).select(*on).collect()]
-    if not hot:
-        return rows.join(unique, on)
-    keys = F.broadcast(rows.sparkSession.createDataFrame(hot, rows.select(*on).schema))
-    return rows.join(keys, on, "left_anti").join(unique, on).unionByName(rows.join(F.broadcast(unique.join(keys, on, "left_semi")), on))

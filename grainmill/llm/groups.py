@@ -15,8 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import both_ways, propagate_minimum
+from ..operators.joins import join_unique
 from ..session import materialize
-from .frames import join_unique, named
+from .frames import named
 
 #: Rows of a file that are joined together; a file of more rows is spread over more keys.
 ROW_BLOCK = 100_000
@@ -39,13 +41,9 @@ def record_edges(pairs: DataFrame, files: DataFrame, docs: DataFrame) -> DataFra
     return met.select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b")).distinct()
 
 
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionAll(edges.select(F.col("b").alias("src"), F.col("a").alias("dst")))
-
-
 def peel_giant(edges: DataFrame) -> tuple[DataFrame | None, DataFrame]:
     """The vertices ``v, label`` of the component of the highest-degree vertex, and the edges that are not in it."""
-    ways = materialize(_both_ways(edges), "ways")
+    ways = materialize(both_ways(edges), "ways")
     hub = ways.groupBy("src").count().orderBy(F.desc("count"), "src").limit(1).collect()
     if not hub:
         return None, edges
@@ -68,36 +66,6 @@ def peel_giant(edges: DataFrame) -> tuple[DataFrame | None, DataFrame]:
     return giant.select("v", F.lit(least).cast("bigint").alias("label")), rest
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    ways = _both_ways(edges)
-    least = ways.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("m"))
-    return join_unique(ways.where("dst > src"), least, ["src"]).where("dst <> m").select(F.col("m").alias("a"), F.col("dst").alias("b")).distinct()
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.col("b").alias("src"), F.col("a").alias("dst"))
-    least = down.groupBy("src").agg(F.min("dst").alias("m"))
-    met = join_unique(down, least, ["src"]).where("dst <> m").select(F.col("m").alias("a"), F.col("dst").alias("b"))
-    return met.unionAll(least.select(F.col("m").alias("a"), F.col("src").alias("b"))).distinct()
-
-
-def propagate_minimum(edges: DataFrame) -> DataFrame:
-    """``v, label`` of every vertex of the edges ``a, b`` (a < b), by alternating stars until nothing changes."""
-
-    def state(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    edges = materialize(edges, "stars")
-    before = state(edges)
-    while before[0]:
-        edges = materialize(_small_star(materialize(_large_star(edges), "stars")), "stars")
-        now = state(edges)
-        if now == before:
-            break
-        before = now
-    return edges.select(F.col("b").alias("v"), F.col("a").alias("label")).unionAll(edges.select(F.col("a").alias("v"), F.col("a").alias("label")).distinct())
-
-
 def components(edges: DataFrame) -> DataFrame:
     """``v, label``: the smallest vertex of the component of every vertex of the edges ``a, b`` (a < b)."""
     edges = materialize(edges, "edges")
