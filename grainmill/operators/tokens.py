@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +20,6 @@ def whitespace(text: Column) -> Column:
 
 def pandas_tokenizer(load: Callable[[], Callable[[str], int]]) -> Tokenizer:
     """A tokenizer from a Python counter, loaded once per worker and fed Arrow batches."""
-    import pandas as pd
-
     loaded: list = []
 
     @F.pandas_udf("bigint")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +32,8 @@ def parquet_folder(spark: SparkSession, path: str, schema: str | None = None, li
 def sourced_folder(spark: SparkSession, path: str, columns: str = "text STRING") -> DataFrame:
     """Texts below ``path``/{source}/ with the source of each file; files right below ``path`` have the source ``.``."""
     df = parquet_folder(spark, path, columns)
-    rest = F.replace(F.replace(F.col("_metadata.file_path"), F.lit("file://"), F.lit("")), F.lit(path.replace("file://", "").rstrip("/") + "/"), F.lit(""))
+    base = re.sub("^[a-zA-Z0-9]+:/+", "/", path).rstrip("/") + "/"
+    rest = F.substring_index(F.col("_metadata.file_path"), base, -1)
     source = F.when(F.contains(rest, F.lit("/")), F.split_part(rest, F.lit("/"), F.lit(1))).otherwise(F.lit("."))
     return df.withColumn("source", source).where(F.col("source") != SKIPPED)
 

@@ -1,0 +1,48 @@
+"""Every named query with SQL against that SQL in another engine."""
+
+from pathlib import Path
+
+import duckdb
+import pandas as pd
+import pytest
+
+import __spark_entry__ as entry
+
+QUERIES, SQL = entry.queries(), entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def engine(sf_dir):
+    con = duckdb.connect()
+    for f in Path(sf_dir).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {f.stem} AS SELECT * FROM '{f}'")
+    return con
+
+
+def rows(df):
+    def cell(x):
+        if x is None or x is pd.NA or (isinstance(x, float) and x != x):
+            return "null"
+        return f"{float(x):.6g}" if isinstance(x, (int, float)) and not isinstance(x, bool) else str(x)
+
+    return sorted(tuple(map(cell, r)) for r in df[sorted(df.columns)].itertuples(index=False))
+
+
+def test_all_sql_belongs_to_queries():
+    assert set(SQL) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(n for n in SQL if n.startswith(("q_", "p6_"))))
+def test_same_rows(spark, engine, sf_dir, name):
+    got, want = QUERIES[name](spark, sf_dir).toPandas(), engine.execute(SQL[name]).fetchdf()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert rows(got) == rows(want)
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.startswith("q_") and n not in SQL))
+def test_queries_without_sql_run(spark, sf_dir, name):
+    assert QUERIES[name](spark, sf_dir).count() > 0
+
+
+def test_entry(spark, sf_dir):
+    assert entry.entry(spark).count() > 0
