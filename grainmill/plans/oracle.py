@@ -168,6 +168,15 @@ k AS (SELECT s.doc_id, s, list_transform(list_filter(range(1, len(s) + 1), lambd
 SELECT doc_id, coalesce(array_to_string(kept, ' '), '') AS text, (len(s) - len(kept))::INTEGER AS dropped FROM k WHERE {word_count("coalesce(array_to_string(kept, ' '), '')")} >= {dedup.DOCUMENT_WORDS}"""
 
 
+def _record_keys() -> str:
+    """Keys of the lines that are whole JSON objects with a number or string of digits as key."""
+    line = "trim(ltrim(trim(l, ' ' || chr(9) || chr(13)), chr(65279)), ' ' || chr(9) || chr(13))"
+    key = "json_extract_string(l, '$.rec_key')"
+    return rf"""WITH l AS (SELECT DISTINCT {line} AS l FROM (SELECT unnest(string_split(replace(body, chr(13), chr(10)), chr(10))) AS l FROM small_files)),
+j AS (SELECT {key} AS k, json_type(l, '$.rec_key') AS t FROM l WHERE l LIKE '{{%' AND json_valid(l))
+SELECT DISTINCT k::BIGINT AS rec_key FROM j WHERE t IN ('UBIGINT', 'BIGINT', 'VARCHAR') AND regexp_full_match(k, '[0-9]+')"""
+
+
 def sql() -> dict[str, str]:
     one = "coalesce(text, '')"
     script = ", ".join(f"round({ratio(found(one, f'[{p.script}]'), found(one, chr(92) + 'p{L}'))}, 6) AS {k}" for k, p in PROFILES.items())
@@ -226,6 +235,7 @@ SELECT task, doc, source, filepath, doc - cumulative_start AS "row" FROM p JOIN
         "q_repack": "SELECT text, id, coalesce(nullif(array_to_string(source, ','), ''), 'consensus') AS source FROM consensus_docs",
         "q_top_sources": "SELECT source, count(*) AS documents FROM documents WHERE source <> '' GROUP BY source ORDER BY documents DESC, source LIMIT 5",
     }
+    out["p6_found"] = _record_keys()
     for k, p in PROFILES.items():
         out[f"q_quality_filter_{k}"] = quality(p)
     return out
