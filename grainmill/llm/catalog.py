@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import budget, copies, encode, groups, leaks, near, prose, reading, repetition
+from . import budget, copies, encode, groups, leaks, near, oracle, prose, reading, repetition
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,4 +40,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.sql()
