@@ -98,5 +98,11 @@ LENIENT_ARABIC = replace(
 
 
 def alternation(phrases: tuple[str, ...]) -> str:
-    """A pattern that finds any of the phrases literally."""
-    return "|".join(re.sub(r"([\\.^$|()\[\]{}*+?])", r"\\\1", p) for p in phrases)
+    """A pattern that finds any of the phrases literally, with common beginnings merged: few branches at each place."""
+    if "" in phrases:
+        return ""
+    tails: dict[str, list[str]] = {}
+    for p in phrases:
+        tails.setdefault(p[0], []).append(p[1:])
+    parts = [re.sub(r"([\\.^$|()\[\]{}*+?])", r"\\\1", first) + alternation(tuple(rest)) for first, rest in sorted(tails.items())]
+    return parts[0] if len(parts) == 1 else "(?:" + "|".join(parts) + ")"

@@ -11,13 +11,18 @@ from . import lexicons as lex
 WS = r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
 
+#: All other code points, the ranges of most letters first: a regex engine tries them in this order.
+SOLID = r"\x{21}-\x{84}\x{A1}-\x{167F}\x{86}-\x{9F}\x{1681}-\x{1FFF}\x{3001}-\x{10FFFF}\x{00}-\x{08}\x{0E}-\x{1B}\x{200B}-\x{2027}\x{202A}-\x{202E}\x{2030}-\x{205E}\x{2060}-\x{2FFF}"
+_BLANKS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(s: Column) -> Column:
-    return F.regexp_replace(s, f"^[{WS}]+|[{WS}]+$", "")
+    return F.btrim(s, F.lit(_BLANKS))
 
 
 def collapse(s: Column) -> Column:
     """Words joined by one blank."""
-    return strip(F.regexp_replace(s, f"[{WS}]+", " "))
+    return F.btrim(F.regexp_replace(s, f"[^{SOLID}]+", " "))
 
 
 def words(s: Column) -> Column:
@@ -27,7 +32,17 @@ def words(s: Column) -> Column:
 
 
 def word_count(s: Column) -> Column:
-    return F.regexp_count(s, F.lit(f"[^{WS}]+"))
+    return F.regexp_count(s, F.lit(f"[{SOLID}]+"))
+
+
+def has_word_longer_than(s: Column, n: int) -> Column:
+    """Tried at word starts only, so linear in the text."""
+    return s.rlike(f"(?:^|[^{SOLID}])[{SOLID}]{{{n + 1}}}")
+
+
+def has_words(s: Column, n: int) -> Column:
+    """Whether a text has at least ``n`` words; looks no further than that."""
+    return s.rlike(f"^[^{SOLID}]*(?:[{SOLID}]++[^{SOLID}]++){{{n - 1}}}[{SOLID}]") if n > 0 else F.lit(True)
 
 
 def doc_id(text: Column, length: int = 12) -> Column:
@@ -37,7 +52,7 @@ def doc_id(text: Column, length: int = 12) -> Column:
 
 
 def letter_count(s: Column) -> Column:
-    return F.regexp_count(s, F.lit(r"\p{L}"))
+    return F.length(s) - F.length(F.regexp_replace(s, r"\p{L}++", ""))
 
 
 def class_count(s: Column, char_class: str) -> Column:

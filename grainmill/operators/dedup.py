@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.text import bind
-from ..session import materialize
+from ..session import materialize, spread
 from .components import components
 from .joins import join_unique
 
@@ -43,7 +43,7 @@ def shingle_hash(shingle: Column) -> Column:
 
 def shingles(df: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc, s``: the distinct word n-grams of every text."""
-    rows = bind(df.where(f"{text_col} is not null").select(F.col(key).alias("doc"), text_col), w=T.words(F.lower(text_col)))
+    rows = bind(spread(df.where(f"{text_col} is not null").select(F.col(key).alias("doc"), text_col)), w=T.words(F.lower(text_col)))
     return rows.select("doc", F.explode(F.array_distinct(T.ngrams(F.col("w"), SHINGLE))).alias("s"))
 
 
@@ -103,7 +103,7 @@ def sentence_dedup(df: DataFrame, key: str = "doc_id", text_col: str = "text") -
     Only sentences of SENTENCE_WORDS words or more form spans; texts left with fewer than DOCUMENT_WORDS words go. The
     spans move as hashes; the texts stay where they are until the few places to drop come back.
     """
-    rows = bind(df.select(F.col(key).alias("doc"), text_col), s=sentences(F.coalesce(F.col(text_col), F.lit("")))).select("doc", "s")
+    rows = bind(spread(df.select(F.col(key).alias("doc"), text_col)), s=sentences(F.coalesce(F.col(text_col), F.lit("")))).select("doc", "s")
     long = F.expr(f"forall(w, x -> x >= {SENTENCE_WORDS})")
     spans = rows.where(F.size("s") >= SPAN).select("doc", F.posexplode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("s") - (SPAN - 1), F.lit(1))), lambda i: F.slice("s", i, SPAN))).alias("at", "span"))
     spans = spans.select("doc", "at", F.transform("span", T.word_count).alias("w"), F.md5(F.array_join(F.transform("span", F.lower), "\n").cast("binary")).alias("h")).where(long).select("doc", "at", "h")

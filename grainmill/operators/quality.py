@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.text import bind
 from ..functions.profiles import PROFILES, LanguageProfile, alternation
+from ..functions.text import bind
+from ..session import spread
 
 LINE_REASONS = ["line_long_word", "line_javascript", "line_policy", "line_too_few_words"]
 
@@ -46,18 +47,19 @@ def _line_reason(p: LanguageProfile, line: Column) -> Column:
     low = F.lower(line)
     rules = []
     if p.max_word_length > 0:
-        rules.append((line.rlike(f"[^{T.WS}]{{{p.max_word_length + 1},}}"), "line_long_word"))
+        rules.append((T.has_word_longer_than(line, p.max_word_length), "line_long_word"))
     if p.filter_javascript:
         rules.append((F.contains(low, F.lit("javascript")), "line_javascript"))
     if p.policy:
         rules.append((low.rlike(alternation(p.policy)), "line_policy"))
     if p.min_words_per_line > 0:
-        rules.append(((T.word_count(line) < p.min_words_per_line) & ~T.ends_with_any(line, p.line_ends), "line_too_few_words"))
+        rules.append((~T.has_words(line, p.min_words_per_line) & ~T.ends_with_any(line, p.line_ends), "line_too_few_words"))
     return first_reason(rules)
 
 
 def marked_lines(df: DataFrame, profile: LanguageProfile, text_col: str = "text") -> DataFrame:
     """Adds ``q_reason`` of the raw text and, where it has none, ``q_lines`` with the reason each line is dropped."""
+    df = spread(df)
     df = bind(df, q_reason=_document_reason(profile, F.coalesce(F.col(text_col), F.lit(""))))
     body = F.coalesce(F.col(text_col), F.lit(""))
     if profile.citation:
@@ -74,7 +76,7 @@ def annotate(df: DataFrame, profile: LanguageProfile, text_col: str = "text") ->
     df = bind(
         df,
         q_n=F.size(kept),
-        q_words=F.aggregate(kept, F.lit(0), lambda a, x: a + T.word_count(x)),
+        q_words=T.word_count(F.array_join(kept, "\n")),
         q_ended=F.size(F.filter(kept, lambda x: T.ends_with_any(x, profile.line_ends))),
         q_short=F.size(F.filter(kept, lambda x: F.length(x) <= profile.short_line_length)),
         q_bullets=F.size(F.filter(kept, T.starts_with_bullet)),
