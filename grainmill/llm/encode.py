@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, spread
 from .frames import named
 from .letters import slices
 from .pretokens import cut
@@ -92,7 +92,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_
                 out.append(ids)
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.binary())], schema=_ROWS)
 
-    rows = materialize(named(df, doc_id=id_col, text=text_col).mapInArrow(_to_words, _ROWS_SQL), "words")
+    rows = materialize(spread(named(df, doc_id=id_col, text=text_col)).mapInArrow(_to_words, _ROWS_SQL), "words")
     coded = rows.where(F.col("kind") == _WORD).repartition("data").sortWithinPartitions("data").mapInArrow(encode_words, _ROWS_SQL)
     back = coded.unionByName(rows.where(F.col("kind") == _TEXT)).repartition("chunk").sortWithinPartitions("chunk", "kind")
     return back.mapInArrow(_reassemble, "doc_id bigint, ids array<int>")

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .letters import mix, slices
 
 
@@ -20,7 +21,7 @@ def named(df: DataFrame, **columns: str) -> DataFrame:
 def map_texts(df: DataFrame, work: Callable, schema: str, text: str = "text") -> DataFrame:
     """``work(columns, texts)`` is called on slices of bounded size and returns a dict of output columns.
 
-    ``columns`` are the other columns of ``df`` as Arrow arrays; map only, no shuffle.
+    ``columns`` are the other columns of ``df`` as Arrow arrays; map only, no shuffle but for tables of few splits.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -37,7 +38,7 @@ def map_texts(df: DataFrame, work: Callable, schema: str, text: str = "text") ->
                     arrays = [v if isinstance(v, pa.Array) else pa.array(v) for v in (made[f.name] for f in out)]
                     yield pa.RecordBatch.from_arrays([a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, out)], schema=out)
 
-    return df.mapInArrow(run, schema)
+    return spread(df).mapInArrow(run, schema)
 
 
 #: Bits of the map of wanted ids; 4 MB, however many ids there are.

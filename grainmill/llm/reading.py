@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, spread
 from .frames import lang_code, map_texts, named
 from .letters import slices
 from .prose import PROSE_LEAST
@@ -140,7 +140,7 @@ def word_sketch(df: DataFrame, text_col: str = "text") -> np.ndarray:
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
 
-    rows = named(df, text=text_col).mapInArrow(run, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    rows = spread(named(df, text=text_col)).mapInArrow(run, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(CELLS, np.int64)
     out[rows.column("cell").to_numpy()] = rows.column("n").to_numpy()
     return out
