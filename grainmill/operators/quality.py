@@ -9,6 +9,8 @@ Null texts count as empty.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,34 +59,63 @@ def _line_reason(p: LanguageProfile, line: Column) -> Column:
     return first_reason(rules)
 
 
-def marked_lines(df: DataFrame, profile: LanguageProfile, text_col: str = "text") -> DataFrame:
+class _Choice:
+    """One profile, or the profile of each row's language. Only the branch of a row's language is evaluated."""
+
+    def __init__(self, profiles: LanguageProfile | dict[str, LanguageProfile]) -> None:
+        self.profiles = profiles
+
+    def __call__(self, make: Callable[[LanguageProfile], Column], otherwise: Column | None = None) -> Column:
+        if isinstance(self.profiles, LanguageProfile):
+            return make(self.profiles)
+        out = F.lit(None) if otherwise is None else otherwise
+        for code, p in self.profiles.items():
+            out = F.when(F.col("q_lang") == code, make(p)).otherwise(out)
+        return out
+
+    @property
+    def optional(self) -> bool:
+        own = [self.profiles] if isinstance(self.profiles, LanguageProfile) else self.profiles.values()
+        return any(p.optional for p in own)
+
+
+def marked_lines(df: DataFrame, profile: LanguageProfile | dict[str, LanguageProfile], text_col: str = "text") -> DataFrame:
     """Adds ``q_reason`` of the raw text and, where it has none, ``q_lines`` with the reason each line is dropped."""
-    df = spread(df)
-    df = bind(df, q_reason=_document_reason(profile, F.coalesce(F.col(text_col), F.lit(""))))
-    body = F.coalesce(F.col(text_col), F.lit(""))
-    if profile.citation:
-        body = F.regexp_replace(body, profile.citation.replace(r"\d", r"\p{Nd}"), "")
-    marked = F.transform(T.lines(body), lambda x: F.struct(x.alias("line"), _line_reason(profile, x).alias("reason")))
-    return bind(df, q_lines=F.when(F.col("q_reason").isNull(), marked))
+    choose, s = _Choice(profile), F.coalesce(F.col(text_col), F.lit(""))
 
+    def marked(p: LanguageProfile) -> Column:
+        body = F.regexp_replace(s, p.citation.replace(r"\d", r"\p{Nd}"), "") if p.citation else s
+        return F.transform(T.lines(body), lambda x: F.struct(x.alias("line"), _line_reason(p, x).alias("reason")))
 
-def annotate(df: DataFrame, profile: LanguageProfile, text_col: str = "text") -> DataFrame:
+    df = bind(spread(df), q_reason=choose(lambda p: _document_reason(p, s), F.lit("no_profile")))
+    return bind(df, q_lines=F.when(F.col("q_reason").isNull(), choose(marked)))
+
+
+def annotate(df: DataFrame, profile: LanguageProfile | dict[str, LanguageProfile], text_col: str = "text") -> DataFrame:
     """Adds ``reject_reason`` (null: kept) and ``filtered_text`` (null: rejected)."""
-    names = df.columns
+    choose, names = _Choice(profile), [c for c in df.columns if c != "q_lang"]
     df = bind(marked_lines(df, profile, text_col), q_kept=F.transform(F.filter("q_lines", lambda x: x.reason.isNull()), lambda x: x.line))
-    kept = F.col("q_kept")
+    kept, s = F.col("q_kept"), F.col("q_text")
     df = bind(
         df,
         q_n=F.size(kept),
         q_words=T.word_count(F.array_join(kept, "\n")),
-        q_ended=F.size(F.filter(kept, lambda x: T.ends_with_any(x, profile.line_ends))),
-        q_short=F.size(F.filter(kept, lambda x: F.length(x) <= profile.short_line_length)),
+        q_ended=choose(lambda p: F.size(F.filter(kept, lambda x: T.ends_with_any(x, p.line_ends)))),
+        q_short=choose(lambda p: F.size(F.filter(kept, lambda x: F.length(x) <= p.short_line_length))),
         q_bullets=F.size(F.filter(kept, T.starts_with_bullet)),
         q_chars=T.total_length(kept),
         q_repeats=T.duplicate_chars(kept),
         q_text=F.array_join(kept, "\n"),
     )
-    p, n, r = profile, F.col("q_n"), T.ratio
+    if choose.optional:
+        df = bind(df, q_list=T.words(s))
+    df = bind(df, reject_reason=F.coalesce("q_reason", choose(lambda p: first_reason(_text_rules(p, df)))))
+    return df.select(*names, "reject_reason", F.when(F.col("reject_reason").isNull(), s).alias("filtered_text"))
+
+
+def _text_rules(p: LanguageProfile, df: DataFrame) -> list[tuple[Column, str]]:
+    """Rules on the kept lines, in order."""
+    n, r, s = F.col("q_n"), T.ratio, F.col("q_text")
     low_ends = r(F.col("q_ended"), n) < p.line_punct_thr
     rules = [
         (n == 0, "empty"),
@@ -96,18 +127,16 @@ def annotate(df: DataFrame, profile: LanguageProfile, text_col: str = "text") ->
         (r(F.col("q_repeats"), F.col("q_chars")) > p.char_duplicates_ratio, "char_dup_ratio"),
     ]
     if p.filter_repetition:
-        runs = T.has_char_run(F.col("q_text"), p.max_char_repetition)
-        rules.append((runs | F.col("q_text").rlike(p.laughter) if p.laughter else runs, "excessive_repetition"))
-    if p.optional:
-        df = bind(df, q_list=T.words(F.col("q_text")))
-        rules += _optional_rules(p, df)
-    df = bind(df, reject_reason=F.coalesce("q_reason", first_reason(rules)))
-    return df.select(*names, "reject_reason", F.when(F.col("reject_reason").isNull(), F.col("q_text")).alias("filtered_text"))
+        runs = T.has_char_run(s, p.max_char_repetition)
+        rules.append((runs | s.rlike(p.laughter) if p.laughter else runs, "excessive_repetition"))
+    return rules + _optional_rules(p, df)
 
 
 def _optional_rules(p: LanguageProfile, df: DataFrame) -> list[tuple[Column, str]]:
     """Rules that are off unless the profile gives their thresholds."""
     rules, kept, w = [], F.col("q_kept"), F.col("q_list")
+    if not p.optional:
+        return rules
     mean = T.ratio(F.aggregate(w, F.lit(0), lambda a, x: a + F.length(x)), F.size(w))
     if p.min_avg_word_length is not None:
         rules.append((mean < p.min_avg_word_length, "avg_word_too_short"))
@@ -146,15 +175,8 @@ def apply(df: DataFrame, profile: LanguageProfile, text_col: str = "text") -> Da
 
 
 def annotate_by_language(df: DataFrame, lang_col: str = "lang", text_col: str = "text", profiles: dict[str, LanguageProfile] | None = None) -> DataFrame:
-    """Every row by the profile of its language; rows of other languages have reason ``no_profile``."""
-    profiles = profiles or PROFILES
-    code = F.coalesce(language_code(F.col(lang_col)), F.lit("und"))
-    parts = [annotate(df.where(code == k), p, text_col) for k, p in profiles.items()]
-    rest = df.where(~code.isin(*profiles)).withColumns({"reject_reason": F.lit("no_profile"), "filtered_text": F.lit(None).cast("string")})
-    out = rest
-    for part in parts:
-        out = out.unionByName(part)
-    return out
+    """Every row by the profile of its language; rows of other languages have reason ``no_profile``. One scan."""
+    return annotate(bind(df, q_lang=F.coalesce(language_code(F.col(lang_col)), F.lit("und"))), profiles or PROFILES, text_col)
 
 
 def language_code(lang: Column) -> Column:
