@@ -68,8 +68,8 @@ class Mixture:
         logs = np.empty((len(z), len(self.means)))
         for k, (mean, cov) in enumerate(zip(self.means, self.covs)):
             low = np.linalg.cholesky(cov)
-            y = np.linalg.solve(low, (z - mean).T)
-            logs[:, k] = np.log(self.weights[k]) - 0.5 * (y * y).sum(axis=0) - np.log(np.diag(low)).sum()
+            y = (z - mean) @ np.linalg.inv(low).T
+            logs[:, k] = np.log(self.weights[k]) - 0.5 * np.einsum("ni,ni->n", y, y) - np.log(np.diag(low)).sum()
         top = logs.max(axis=1, keepdims=True)
         total = top[:, 0] + np.log(np.exp(logs - top).sum(axis=1))
         return np.exp(logs - total[:, None]), float(total.sum())
@@ -114,7 +114,7 @@ def fit(table: DataFrame) -> Mixture | None:
         def step(x: np.ndarray, shared=shared) -> list[np.ndarray]:
             z = shared.value.standard(x)
             r, log = shared.value.shares(z)
-            return [np.array([log]), r.sum(axis=0), r.T @ z, np.einsum("nk,ni,nj->kij", r, z, z, optimize=True)]
+            return [np.array([log]), r.sum(axis=0), r.T @ z, np.stack([(z * r[:, k : k + 1]).T @ z for k in range(r.shape[1])])]
 
         got = _gather(rows, step)
         log, weight = got[0] / n, got[1 : k + 1]
