@@ -46,7 +46,9 @@ def _overlap(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _tokens(spark: SparkSession, a: argparse.Namespace) -> None:
-    writers.json_report(tokens.token_count(readers.parquet_folder(spark, a.input, readers.STANDARD_SCHEMA)), a.output, input=a.input)
+    counts = tokens.token_count(readers.parquet_folder(spark, a.input, readers.STANDARD_SCHEMA)).cache()
+    writers.json_report(counts, a.output, input=a.input)
+    print(writers.summary(counts, "tokens"))
 
 
 def _convert(spark: SparkSession, a: argparse.Namespace) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import materialize
+from ..session import materialize, spread
 from .components import components
 from .dedup import bands, signatures
 from .joins import join_unique
@@ -14,7 +14,7 @@ from .joins import join_unique
 
 def _sourced(df: DataFrame, key: str) -> DataFrame:
     """Rows with a text and a source."""
-    return df.where("text <> '' and source <> ''").select(F.col(key).alias("doc"), "text", "source")
+    return spread(df.where("text <> '' and source <> ''").select(F.col(key).alias("doc"), "text", "source"))
 
 
 def hash_sources(df: DataFrame, key: str = "doc_id") -> DataFrame:

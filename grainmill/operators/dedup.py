@@ -32,7 +32,7 @@ def permutations(n: int = BANDS * ROWS, seed: int = 1) -> list[tuple[int, int]]:
 
 def exact_dedup(df: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, kept, copies``: of each content the smallest key. Partial aggregation, so copies don't meet in a task."""
-    rows = df.where(f"{text_col} is not null").select(T.doc_id(F.col(text_col)).alias("id"), key)
+    rows = spread(df.where(f"{text_col} is not null").select(key, text_col)).select(T.doc_id(F.col(text_col)).alias("id"), key)
     return rows.groupBy("id").agg(F.min(key).alias("kept"), F.count("*").alias("copies"))
 
 
@@ -62,7 +62,7 @@ def bands(signed: DataFrame) -> DataFrame:
 
 def representatives(df: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc, rep``: the smallest key with the same content."""
-    rows = df.where(f"{text_col} is not null").select(F.col(key).alias("doc"), T.doc_id(F.col(text_col), 32).alias("id"))
+    rows = materialize(spread(df.where(f"{text_col} is not null").select(key, text_col)).select(F.col(key).alias("doc"), T.doc_id(F.col(text_col), 32).alias("id")), "ids")
     return join_unique(rows, rows.groupBy("id").agg(F.min("doc").alias("rep")), ["id"]).select("doc", "rep")
 
 

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import spread
 
 
 def source_contents(df: DataFrame) -> DataFrame:
     """``id, source, tokens``: each content once per source. Texts of one content have equally many words."""
-    rows = df.where("text <> '' and source <> ''").select(T.doc_id(F.col("text")).alias("id"), "source", T.word_count(F.col("text")).alias("tokens"))
+    rows = spread(df.where("text <> '' and source <> ''").select("text", "source")).select(T.doc_id(F.col("text")).alias("id"), "source", T.word_count(F.col("text")).alias("tokens"))
     return rows.groupBy("id", "source").agg(F.max("tokens").cast("bigint").alias("tokens"))
 
 

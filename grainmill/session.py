@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _written: list[str] = []
+_own: list[str] = []
 
 
 def local_session(app: str = "grainmill", cpus: int | str = 8, memory: str = "12g") -> SparkSession:
@@ -32,12 +33,13 @@ def local_session(app: str = "grainmill", cpus: int | str = 8, memory: str = "12
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where that is unset (tests), a temporary one."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder of ``spark.checkpoint.dir``; only where that is unset (tests), a temporary one of this process."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="grainmill-")
-        spark.conf.set("spark.checkpoint.dir", path)
-        _written.append(path)
+        if not _own:
+            _own.append("file://" + tempfile.mkdtemp(prefix="grainmill-"))
+            _written.extend(_own)
+        path = _own[0]
     return path.rstrip("/")
 
 
@@ -62,8 +64,14 @@ def spread(df: DataFrame) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    spark = df.sparkSession
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    if leaves.size() != 1:
+        return df  # comes from a shuffle
+    size = int(str(leaves.apply(0).stats().sizeInBytes()))
+    splits = size / spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if splits < cores else df
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -38,6 +38,14 @@ def sourced_folder(spark: SparkSession, path: str, columns: str = "text STRING")
     return df.withColumn("source", source).where(F.col("source") != SKIPPED)
 
 
+def subsets(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``; a folder without any has the subset ``default``."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(target) if f.isDirectory()]
+    return sorted(n for n in names if not n.startswith(("_", "."))) or ["default"]
+
+
 def json_lines(spark: SparkSession, path: str, pattern: str = "*.json.gz") -> DataFrame:
     """Texts of JSON-lines files, packed or plain; malformed lines and empty texts are skipped, the rest of the file is kept."""
     rows = spark.read.schema("text STRING").option("mode", "DROPMALFORMED").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).json(path)

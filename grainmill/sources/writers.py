@@ -71,3 +71,12 @@ def json_report(df: DataFrame, path: str | Path, **metadata: object) -> None:
     """A small result table as a JSON file."""
     rows = [r.asDict(recursive=True) for r in df.collect()]
     Path(path).write_text(json.dumps({"_metadata": metadata, "rows": rows}, ensure_ascii=False, indent=2, default=str), encoding="utf-8")
+
+
+def summary(df: DataFrame, by: str, keys: int = 1) -> str:
+    """A small result table as text, largest ``by`` first, with the total of every number column."""
+    rows = df.orderBy(F.desc(by), *df.columns[:keys]).collect()
+    totals = ["total", *[""] * (keys - 1), *(sum(r[c] or 0 for r in rows) for c in df.columns[keys:])]
+    cells = [df.columns, *([f"{v:,}" if isinstance(v, int) else "" if v is None else str(v) for v in r] for r in [*map(list, rows), totals])]
+    wide = [max(len(r[i]) for r in cells) for i in range(len(df.columns))]
+    return "\n".join("  ".join(v.ljust(w) if i < keys else v.rjust(w) for i, (v, w) in enumerate(zip(r, wide))).rstrip() for r in cells)

@@ -33,6 +33,7 @@ def test_token_counts(spark):
     assert tuple(tokens.totals(docs(spark, ROWS)).first()) == (11, 8)
     by_char = tokens.pandas_tokenizer(lambda: len)
     assert tokens.totals(docs(spark, ROWS), by_char).first().tokens == sum(len(t or "") for _, t, _ in ROWS)
+    assert writers.summary(tokens.token_count(docs(spark, ROWS)), "tokens").splitlines()[-1].split() == ["total", "11", "8"]
     empty = docs(spark, [])
     assert tuple(tokens.totals(empty).first()) == (0, 0)
 
@@ -97,6 +98,8 @@ def test_sinks_and_readers(spark, tmp_path):
 def test_sources_by_folder(spark, tmp_path):
     for name in ("c4", "misc"):
         docs(spark, ROWS).select("text").coalesce(1).write.parquet(str(tmp_path / "data" / name))
+    assert readers.subsets(spark, str(tmp_path / "data")) == ["c4", "misc"]
+    assert readers.subsets(spark, str(tmp_path / "data" / "c4")) == ["default"]
     got = readers.sourced_folder(spark, str(tmp_path / "data")).groupBy("source").count().collect()
     assert [tuple(r) for r in got] == [("c4", 8)]
 
