@@ -2,8 +2,7 @@ from grainmill import session
 
 
 def test_materialized_tables_lie_in_the_shared_folder(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(session, "_own", [f"file://{tmp_path}"])
-    assert session.shared_dir(spark) == f"file://{tmp_path}"
+    monkeypatch.setattr(session, "shared_dir", lambda _: f"file://{tmp_path}")
     df = session.materialize(spark.range(5), "five")
     assert df.count() == 5
     assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["five"]
