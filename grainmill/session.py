@@ -79,11 +79,18 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def clean(spark: SparkSession) -> None:
+    """Removes all tables written so far; results that still read them are lost."""
+    while _written:
+        remove(spark, _written.pop())
+    _own.clear()
+
+
 @atexit.register
 def _clean() -> None:
     spark = SparkSession.getActiveSession()
-    for path in _written if spark is not None else ():
+    if spark is not None:
         try:
-            remove(spark, path)
+            clean(spark)
         except Exception:  # the session is going down; what is left belongs to the cluster's clean-up
             return

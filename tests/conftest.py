@@ -14,12 +14,13 @@ TESTDATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    from grainmill.session import local_session
+    from grainmill.session import clean, local_session
 
     s = local_session("tests", cpus=8, memory="4g")
     s.sparkContext.setLogLevel("ERROR")
     s.conf.set("spark.sql.shuffle.partitions", "4")
     yield s
+    clean(s)
     s.stop()
 
 
