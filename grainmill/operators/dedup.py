@@ -74,7 +74,7 @@ def minhash_edges(df: DataFrame, key: str = "doc_id", text_col: str = "text") ->
     reps = materialize(representatives(df, key, text_col), "reps")
     copies = reps.where("doc <> rep").select(F.col("rep").alias("a"), F.col("doc").alias("b"))
     first = reps.where("doc = rep").select(F.col("doc").alias(key)).distinct()
-    rows = materialize(bands(signatures(df.select(key, text_col).join(first, key, "left_semi"), key, text_col)), "bands")
+    rows = materialize(bands(signatures(spread(df.select(key, text_col)).join(first, key, "left_semi"), key, text_col)), "bands")
     least = rows.groupBy("band", "bucket").agg(F.min("doc").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
     stars = join_unique(rows, least, ["band", "bucket"]).where("doc <> a").select("a", F.col("doc").alias("b"))
     return stars.unionByName(copies).distinct()
