@@ -4,9 +4,9 @@ A modified Kneser-Ney model over letter trigrams is counted by Spark over the wh
 arrays. Scoring a text interpolates a history order on top: after ``CONTEXT`` letters that already stood in the
 same text, the letters that followed them there are expected, with the absolute discount estimated from the
 corpus. Repeated content costs almost no bits, so the bits with history against the bits without it fall below
-a language's lower band where much of a text is repeated; bits without history above the upper band are letter
-salad. The band's candidates are then checked exactly: the share of letters in runs of ``RUN`` or more that
-already stood earlier in the same text.
+the lower band where much of a text is repeated; bits without history above a language's upper band are letter
+salad. For every text the share of letters in runs of ``RUN`` or more that already stood earlier in the same text
+is counted exactly; that share alone decides what is found, and the lower band adds what repeats in shorter runs.
 
 Defined results: null texts and texts without letters have share 0 and no perplexity; a run is letters only, so
 blanks, case and punctuation don't hide a repetition; null languages are judged by their script.
@@ -29,8 +29,10 @@ RUN, FOUND_SHARE = 30, 0.4
 CONTEXT = 11
 #: Trigrams the broadcast model may hold (16 bytes each); rarer ones are pruned and backed off from.
 MODEL_GRAMS = 2_000_000
-#: Lower band: bits a text keeps if MARGIN less than FOUND_SHARE of it were repeated.
 MARGIN = 0.15
+#: Lower band: the part of its bits a text keeps if MARGIN less than FOUND_SHARE of it is repeated; all of them without
+#: repetition, whatever the other texts are.
+LOWER = 1 - FOUND_SHARE + MARGIN
 UPPER_QUANTILE = 0.995
 _BITS = np.int64(21)
 _START = np.int64(1)  # stands before a text
@@ -236,21 +238,20 @@ def scores(df: DataFrame, model: KneserNey, id_col: str = "rec_id", text_col: st
 
 
 def bands(scored: DataFrame) -> DataFrame:
-    """``band_lang, lower, upper``: of a text's relative bits, and of its bits without history."""
-    usual = scored.where("n_letters >= 30").groupBy("band_lang").agg(F.percentile_approx(F.expr("bits / base_bits"), 0.5).alias("usual"), F.percentile_approx("base_bits", UPPER_QUANTILE).alias("upper"))
-    return usual.select("band_lang", (F.col("usual") * (1 - FOUND_SHARE + MARGIN)).alias("lower"), "upper")
+    """``band_lang, upper``: of a text's bits without history."""
+    return scored.where("n_letters >= 30").groupBy("band_lang").agg(F.percentile_approx("base_bits", UPPER_QUANTILE).alias("upper"))
 
 
 def repetition(df: DataFrame, id_col: str = "rec_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``rec_id, perplexity, base_perplexity, repeated_share, verdict`` of every row; verdict is keep, low or high."""
     scored = materialize(scores(df, fit(df, text_col), id_col, text_col, lang_col), "scores")
     with_bands = scored.join(F.broadcast(bands(scored)), "band_lang", "left")  # six languages at most
-    low = (F.col("bits") / F.col("base_bits")) <= F.col("lower")
-    verdict = F.when(low, "low").when(F.col("base_bits") > F.col("upper"), "high").otherwise("keep")
     share = F.when(F.col("n_letters") > 0, F.col("repeated") / F.col("n_letters")).otherwise(0.0)
+    low = (share >= FOUND_SHARE) | (F.col("bits") / F.col("base_bits") <= LOWER)
+    verdict = F.when(low, "low").when(F.col("base_bits") > F.col("upper"), "high").otherwise("keep")
     return with_bands.select("rec_id", F.pow(F.lit(2.0), "bits").alias("perplexity"), F.pow(F.lit(2.0), "base_bits").alias("base_perplexity"), share.alias("repeated_share"), verdict.alias("verdict"))
 
 
 def repetition_found(df: DataFrame, id_col: str = "rec_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Records below their language's lower band of which at least FOUND_SHARE is repeated."""
-    return repetition(df, id_col, text_col, lang_col).where(F.col("verdict") == "low").where(F.col("repeated_share") >= FOUND_SHARE).select("rec_id").distinct()
+    """Records of which at least FOUND_SHARE is repeated."""
+    return repetition(df, id_col, text_col, lang_col).where(F.col("repeated_share") >= FOUND_SHARE).select("rec_id").distinct()

@@ -52,6 +52,22 @@ def test_found(spark):
     assert out[len(sample) - 5].perplexity is None
 
 
+def test_found_where_most_of_a_language_repeats(spark):
+    """What is found depends on a text alone: copies of one heavily repeated text don't hide milder repetition."""
+    draw = random.Random(9)
+    a = words(draw, 12)
+    heavy = words(draw, 2) + (". " + a) * 20
+    mild = [words(draw, 4) + (". " + b) * 2 for b in (words(draw, 16) for _ in range(10))]
+    plain = [words(draw, 60) for _ in range(20)]
+    rows = [(i, t, "it") for i, t in enumerate([heavy] * 60 + mild + plain)]
+    want = {i for i, t, _ in rows if brute_share(t) >= R.FOUND_SHARE}
+    assert set(range(60)) < want  # some mild ones as well
+    assert {r.rec_id for r in R.repetition_found(table(spark, rows)).collect()} == want
+    verdicts = {r.rec_id: r.verdict for r in R.repetition(table(spark, rows)).collect()}
+    assert all(verdicts[i] == "low" for i in want)
+    assert not any(verdicts[i] == "low" for i in range(70, 90))
+
+
 def test_empty(spark):
     assert R.repetition_found(table(spark, [])).count() == 0
 
