@@ -26,12 +26,31 @@ def first_of_content(stream: DataFrame, time_col: str = "ingested_at", delay: st
     return rows.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(["id"])
 
 
-def crawl_counts(stream: DataFrame, time_col: str = "crawled_at", width: str = "7 days", delay: str = "30 days") -> DataFrame:
-    """Documents by source and window of crawl time; rows later than ``delay`` are left out."""
-    rows = stream.where(F.col(time_col).isNotNull()).withWatermark(time_col, delay)
-    return rows.groupBy(F.window(time_col, width), "source").agg(F.count("*").alias("documents")).select(F.col("window.start").alias("start"), "source", "documents")
-
-
-def write_available(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Works off what there is and ends; a restart goes on where it ended."""
-    return stream.writeStream.format("parquet").outputMode(mode).option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def crawl_counts(stream: DataFrame, time_col: str = "crawled_at", width: str = "7 days") -> DataFrame:
+    """Documents by source and window of crawl time; those without a time have a row by source with a null start.
+
+    There is no watermark, so no row is too late; the state is one number by window and source, not by document.
+    """
+    none = F.col(time_col).isNull()
+    at = F.coalesce(F.col(time_col), F.timestamp_seconds(F.lit(0)))  # a window drops null times
+    rows = stream.select("source", none.alias("none"), at.alias("at"))
+    counts = rows.groupBy(F.window("at", width), "none", "source").agg(F.count("*").alias("documents"))
+    return counts.select(F.when(~F.col("none"), F.col("window.start")).alias("start"), "source", "documents")
+
+
+def _aggregates(plan) -> bool:
+    children = plan.children()
+    return plan.isStreaming() and (plan.nodeName() == "Aggregate" or any(_aggregates(children.apply(i)) for i in range(children.size())))
+
+
+def write_available(stream: DataFrame, out: str, checkpoint: str, mode: str | None = None) -> StreamingQuery:
+    """Works off what there is and ends; a restart goes on where it ended.
+
+    Rows are appended. Aggregates are complete by default: each batch writes all of them anew in place of the last
+    state, as appending would keep back the groups that are still open.
+    """
+    mode = mode or ("complete" if _aggregates(stream._jdf.queryExecution().analyzed()) else "append")
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if mode == "complete":
+        return writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out)).start()
+    return writer.format("parquet").option("path", out).start()

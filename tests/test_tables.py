@@ -148,3 +148,31 @@ def test_streams(spark, tmp_path):
     assert run("quality", stream.annotate(source(), PROFILES["it"])).count() == 8
     assert run("first", stream.first_of_content(source())).count() == 5
     run("counts", stream.crawl_counts(source()))
+
+
+def test_streamed_counts_are_whole(spark, tmp_path):
+    """Open windows, rows far behind the others and rows without a time count too, over several triggers and a restart."""
+    schema = "doc_id bigint, text string, source string, crawled_at timestamp"
+    late, new = datetime(2024, 1, 5), datetime(2025, 4, 5)
+    path = tmp_path / "in"
+
+    def add(name, times):
+        rows = [(i, "t", ("a", "b", None)[i % 3], at) for i, at in enumerate(times)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(path / name))
+
+    def run():
+        made = stream.crawl_counts(stream.read_folder(spark, str(path), schema, files_per_trigger=1))
+        stream.write_available(made, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+        got = spark.read.schema(made.schema).parquet(str(tmp_path / "out")).collect()
+        assert len({(r.start, r.source) for r in got}) == len(got)
+        assert all(r.start is None or r.start.weekday() == 3 for r in got)  # windows of 7 days start on Thursdays
+        return {(r.start, r.source): r.documents for r in got}
+
+    add("x", [new, new, None, new, datetime(1970, 1, 2)])
+    add("y", [late, late, None, new])
+    first = {(datetime(2025, 4, 3), "a"): 3, (datetime(2025, 4, 3), "b"): 1, (None, None): 2, (datetime(1970, 1, 1), "b"): 1}
+    first |= {(datetime(2024, 1, 4), "a"): 1, (datetime(2024, 1, 4), "b"): 1}
+    assert run() == first
+    assert run() == first
+    add("z", [late, None])
+    assert run() == first | {(datetime(2024, 1, 4), "a"): 2, (None, "b"): 1}
