@@ -20,10 +20,14 @@ def annotate(stream: DataFrame, profile: LanguageProfile) -> DataFrame:
     return quality.annotate(stream, profile)
 
 
-def first_of_content(stream: DataFrame, time_col: str = "ingested_at", delay: str = "30 days") -> DataFrame:
-    """Rows whose content has not come within ``delay``; the watermark bounds the state."""
+def first_of_content(stream: DataFrame, time_col: str = "ingested_at", delay: str | None = None) -> DataFrame:
+    """The first row of each content, in whatever order rows come; the state keeps an id for every content.
+
+    A ``delay`` bounds the state by a watermark, at a price: rows that come later than that are dropped even if their
+    content is new, and a content that comes again after it is returned again.
+    """
     rows = stream.where("text is not null").withColumn("id", T.doc_id(F.col("text"), 32))
-    return rows.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(["id"])
+    return rows.dropDuplicates(["id"]) if delay is None else rows.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(["id"])
 
 
 def crawl_counts(stream: DataFrame, time_col: str = "crawled_at", width: str = "7 days") -> DataFrame:

@@ -176,3 +176,23 @@ def test_streamed_counts_are_whole(spark, tmp_path):
     assert run() == first
     add("z", [late, None])
     assert run() == first | {(datetime(2024, 1, 4), "a"): 2, (None, "b"): 1}
+
+
+def test_streamed_contents_in_any_order_of_time(spark, tmp_path):
+    """A content behind the others' times isn't lost, and copies far apart are one, over several triggers and a restart."""
+    schema = "doc_id bigint, text string, ingested_at timestamp"
+
+    def add(name, *rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in" / name))
+
+    def run():
+        made = stream.first_of_content(stream.read_folder(spark, str(tmp_path / "in"), schema, files_per_trigger=1))
+        stream.write_available(made, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+        return sorted(r.text for r in spark.read.schema(made.schema).parquet(str(tmp_path / "out")).collect())
+
+    add("x", (1, "uno", datetime(2025, 1, 6)), (2, "due", datetime(2025, 1, 6)))
+    assert run() == ["due", "uno"]
+    add("y", (3, "uno", datetime(2025, 6, 12)), (4, "tre", datetime(2025, 6, 12)), (5, "tre", None))
+    assert run() == ["due", "tre", "uno"]
+    add("z", (6, "quattro", datetime(2025, 1, 7)), (7, None, datetime(2025, 1, 7)), (8, "due", datetime(2025, 1, 7)))
+    assert run() == ["due", "quattro", "tre", "uno"]
