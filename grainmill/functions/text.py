@@ -51,6 +51,15 @@ def doc_id(text: Column, length: int = 12) -> Column:
     return F.substring(F.md5(collapse(F.lower(text)).cast("binary")), 1, length)
 
 
+def content(text: Column) -> Column:
+    """All 32 digits of the content's id, to group and join by; ``short_id`` is what is returned of it."""
+    return doc_id(text, 32)
+
+
+def short_id(id_col: str = "id") -> Column:
+    return F.substring(id_col, 1, 12).alias(id_col)
+
+
 def letter_count(s: Column) -> Column:
     return F.length(s) - F.length(F.regexp_replace(s, r"\p{L}++", ""))
 

@@ -19,15 +19,15 @@ def _sourced(df: DataFrame, key: str) -> DataFrame:
 
 def hash_sources(df: DataFrame, key: str = "doc_id") -> DataFrame:
     """``id, sources, n_sources``: which sources hold each content."""
-    rows = _sourced(df, key).select(T.doc_id(F.col("text")).alias("id"), "source")
-    return rows.groupBy("id").agg(F.array_sort(F.collect_set("source")).alias("sources")).withColumn("n_sources", F.size("sources"))
+    rows = _sourced(df, key).select(T.content(F.col("text")).alias("id"), "source")
+    return rows.groupBy("id").agg(F.array_sort(F.collect_set("source")).alias("sources")).select(T.short_id(), "sources", F.size("sources").alias("n_sources"))
 
 
 def hash_consensus(df: DataFrame, min_sources: int = 2, key: str = "doc_id") -> DataFrame:
     """``id, text, source``: contents of at least ``min_sources`` sources, the text of the first source and key. One shuffle."""
-    rows = _sourced(df, key).select(T.doc_id(F.col("text")).alias("id"), "text", "source", "doc")
+    rows = _sourced(df, key).select(T.content(F.col("text")).alias("id"), "text", "source", "doc")
     grouped = rows.groupBy("id").agg(F.min_by("text", F.struct("source", "doc")).alias("text"), F.array_sort(F.collect_set("source")).alias("source"))
-    return grouped.where(F.size("source") >= min_sources)
+    return grouped.where(F.size("source") >= min_sources).select(T.short_id(), "text", "source")
 
 
 def participation(consensus: DataFrame) -> DataFrame:

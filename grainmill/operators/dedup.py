@@ -32,8 +32,8 @@ def permutations(n: int = BANDS * ROWS, seed: int = 1) -> list[tuple[int, int]]:
 
 def exact_dedup(df: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, kept, copies``: of each content the smallest key. Partial aggregation, so copies don't meet in a task."""
-    rows = spread(df.where(f"{text_col} is not null").select(key, text_col)).select(T.doc_id(F.col(text_col)).alias("id"), key)
-    return rows.groupBy("id").agg(F.min(key).alias("kept"), F.count("*").alias("copies"))
+    rows = spread(df.where(f"{text_col} is not null").select(key, text_col)).select(T.content(F.col(text_col)).alias("id"), key)
+    return rows.groupBy("id").agg(F.min(key).alias("kept"), F.count("*").alias("copies")).select(T.short_id(), "kept", "copies")
 
 
 def shingle_hash(shingle: Column) -> Column:

@@ -10,8 +10,8 @@ from ..session import spread
 
 
 def source_contents(df: DataFrame) -> DataFrame:
-    """``id, source, tokens``: each content once per source. Texts of one content have equally many words."""
-    rows = spread(df.where("text <> '' and source <> ''").select("text", "source")).select(T.doc_id(F.col("text")).alias("id"), "source", T.word_count(F.col("text")).alias("tokens"))
+    """``id, source, tokens``: each content once per source, the id of all 32 digits. Texts of one content have equally many words."""
+    rows = spread(df.where("text <> '' and source <> ''").select("text", "source")).select(T.content(F.col("text")).alias("id"), "source", T.word_count(F.col("text")).alias("tokens"))
     return rows.groupBy("id", "source").agg(F.max("tokens").cast("bigint").alias("tokens"))
 
 
@@ -41,10 +41,10 @@ def pairwise_overlap(df: DataFrame) -> DataFrame:
 def source_intersect(df: DataFrame, a: str, b: str) -> DataFrame:
     """``id`` of the contents that both sources hold."""
     contents = source_contents(df)
-    return contents.where(F.col("source") == a).select("id").intersect(contents.where(F.col("source") == b).select("id"))
+    return contents.where(F.col("source") == a).select("id").intersect(contents.where(F.col("source") == b).select("id")).select(T.short_id())
 
 
 def source_except(df: DataFrame, a: str, b: str) -> DataFrame:
     """``id`` of the contents of ``a`` that ``b`` lacks."""
     contents = source_contents(df)
-    return contents.where(F.col("source") == a).select("id").join(contents.where(F.col("source") == b).select("id"), "id", "left_anti")
+    return contents.where(F.col("source") == a).select("id").join(contents.where(F.col("source") == b).select("id"), "id", "left_anti").select(T.short_id())

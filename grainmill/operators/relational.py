@@ -30,8 +30,8 @@ def union_null_fill(*tables: DataFrame) -> DataFrame:
 def keep_first(df: DataFrame, key: str = "doc_id") -> DataFrame:
     """The first row of each content by a window; ``dedup.exact_dedup`` gives the same keys without sorting copies."""
     w = Window.partitionBy("id").orderBy(key)
-    rows = df.where("text is not null").select(key, T.doc_id(F.col("text")).alias("id"))
-    return rows.withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
+    rows = df.where("text is not null").select(key, T.content(F.col("text")).alias("id"))
+    return rows.withColumn("n", F.row_number().over(w)).where("n = 1").select(key, T.short_id())
 
 
 def cumulative_starts(files: DataFrame) -> DataFrame:

@@ -3,9 +3,11 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from grainmill.functions import text as T
 from grainmill.operators import components as C
-from grainmill.operators import consensus, dedup
+from grainmill.operators import consensus, dedup, overlap, relational
 
 
 def docs(spark, rows):
@@ -124,3 +126,18 @@ def test_sentence_dedup(spark):
     assert got[0].text == " ".join(own(0))
     assert got[0].dropped == 3
     assert got[7].dropped == 0
+
+
+def test_contents_with_the_same_short_id_stay_apart(spark, monkeypatch):
+    """What is written of an id may collide; what is grouped by doesn't."""
+    monkeypatch.setattr(T, "doc_id", lambda text, length=12: F.substring(F.concat(F.lit("0" * 12), F.md5(text.cast("binary"))), 1, length))
+    df = spark.createDataFrame([(1, "uno", "a"), (2, "due", "a"), (3, "uno", "b"), (4, "tre", "b")], "doc_id bigint, text string, source string")
+    zero = "0" * 12
+    assert sorted(map(tuple, dedup.exact_dedup(df).collect())) == [(zero, 1, 2), (zero, 2, 1), (zero, 4, 1)]
+    assert sorted(map(tuple, relational.keep_first(df).collect())) == [(1, zero), (2, zero), (4, zero)]
+    assert [tuple(r) for r in consensus.hash_consensus(df).collect()] == [(zero, "uno", ["a", "b"])]
+    assert sorted(map(tuple, consensus.hash_sources(df).collect())) == [(zero, ["a"], 1), (zero, ["a", "b"], 2), (zero, ["b"], 1)]
+    assert [(r.overlap, r.pct_of_a) for r in overlap.pairwise_overlap(df).collect()] == [(1, 50.0)]
+    assert {r.source: r.documents for r in overlap.unique_documents(df).collect()} == {"a": 2, "b": 2}
+    assert [tuple(r) for r in overlap.source_intersect(df, "a", "b").collect()] == [(zero,)]
+    assert [tuple(r) for r in overlap.source_except(df, "a", "b").collect()] == [(zero,)]
