@@ -11,7 +11,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _written: list[str] = []
 _own: list[str] = []
@@ -33,9 +33,11 @@ def local_session(app: str = "grainmill", cpus: int | str = 8, memory: str = "12
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where that is unset (tests), a temporary one of this process."""
+    """The folder of ``spark.checkpoint.dir``; where that is unset, on a single machine a temporary one of this process."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if not _own:
             _own.append("file://" + tempfile.mkdtemp(prefix="grainmill-"))
             _written.extend(_own)
@@ -51,27 +53,46 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` once to the shared folder and return the reader of the written table."""
-    spark = df.sparkSession
+    return write_step(df, name)[0]
+
+
+def write_step(df: DataFrame, name: str = "step", **measures: Column) -> tuple[DataFrame, dict]:
+    """``materialize``, and aggregates of the rows taken while they are written, without another job."""
+    spark, seen = df.sparkSession, Observation()
     path = fresh_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    rows = df.observe(seen, *(c.alias(n) for n, c in measures.items())) if measures else df
+    rows.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._step_path = path
+    return out, seen.get if measures else {}
+
+
+def drop_steps(*tables: DataFrame) -> None:
+    """Removes written tables that nothing reads any more, so that long loops don't fill the shared folder."""
+    for df in tables:
+        path = getattr(df, "_step_path", None)
+        if path in _written:
+            remove(df.sparkSession, path)
+            _written.remove(path)
+
+
+#: A table of more bytes than this is never moved just to busy more cores.
+SMALL_TABLE = 32 << 20
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """For heavy work on each row: a table of fewer partitions than cores (one small file) is dealt out to all cores.
+    """Before heavy work on each row: deals a tiny table out to all cores.
 
-    A table that is split finely enough, as any large one is, stays as it is and is not shuffled.
+    Spark already cuts files into splits for all cores, but not below a row group, so a table of one small file would be
+    worked on by one core. Only tables of at most SMALL_TABLE bytes are moved, whatever the cluster; larger ones never are.
     """
-    if df.isStreaming:
+    plan = getattr(df, "_jdf", None)
+    if df.isStreaming or plan is None:  # no plan to look at (remote session)
+        return df
+    leaves = plan.queryExecution().optimizedPlan().collectLeaves()
+    if leaves.size() != 1 or int(str(leaves.apply(0).stats().sizeInBytes())) > SMALL_TABLE:
         return df
-    spark = df.sparkSession
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    if leaves.size() != 1:
-        return df  # comes from a shuffle
-    size = int(str(leaves.apply(0).stats().sizeInBytes()))
-    splits = size / spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if splits < cores else df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def remove(spark: SparkSession, path: str) -> None:

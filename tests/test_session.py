@@ -1,3 +1,5 @@
+import pytest
+
 from grainmill import session
 
 
@@ -22,14 +24,34 @@ def test_the_sessions_folder_comes_first(tmp_path, monkeypatch):
     session._written.pop()
 
 
-def test_only_small_tables_are_dealt_out(spark, tmp_path):
+def test_only_tiny_tables_are_dealt_out(spark, tmp_path, monkeypatch):
     spark.range(100).coalesce(1).write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
     cores = spark.sparkContext.defaultParallelism
     assert session.spread(df).rdd.getNumPartitions() == cores
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "16b")
-    try:
-        assert "Exchange" not in session.spread(df)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")
     assert session.spread(df.join(df.withColumnRenamed("id", "x"), df.id == 1)).columns == ["id", "x"]
+    monkeypatch.setattr(session, "SMALL_TABLE", 10)
+    assert "Exchange" not in session.spread(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        conf, sparkContext = {}, Context()
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.shared_dir(Session())
+
+
+def test_measures_are_taken_while_writing(spark):
+    from pyspark.sql import functions as F
+
+    out, seen = session.write_step(spark.range(10), "ten", n=F.count("*"), sum=F.sum("id"))
+    assert (seen["n"], seen["sum"], out.count()) == (10, 45, 10)
+    session.drop_steps(out)
+    assert out._step_path not in session._written
