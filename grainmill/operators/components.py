@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import drop_steps, write_step
 from .joins import join_unique
 
 
@@ -17,30 +17,33 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionAll(edges.select(F.col("b").alias("src"), F.col("a").alias("dst")))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     ways = both_ways(edges)
     least = ways.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("m"))
-    return join_unique(ways.where("dst > src"), least, ["src"]).where("dst <> m").select(F.col("m").alias("a"), F.col("dst").alias("b")).distinct()
+    return join_unique(ways.where("dst > src"), least, ["src"], n_rows=n).where("dst <> m").select(F.col("m").alias("a"), F.col("dst").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
     down = edges.select(F.col("b").alias("src"), F.col("a").alias("dst"))
     least = down.groupBy("src").agg(F.min("dst").alias("m"))
-    met = join_unique(down, least, ["src"]).where("dst <> m").select(F.col("m").alias("a"), F.col("dst").alias("b"))
+    met = join_unique(down, least, ["src"], n_rows=n).where("dst <> m").select(F.col("m").alias("a"), F.col("dst").alias("b"))
     return met.unionAll(least.select(F.col("m").alias("a"), F.col("src").alias("b"))).distinct()
 
 
-def propagate_minimum(edges: DataFrame) -> DataFrame:
-    """``v, label`` of every vertex of the edges ``a, b`` (a < b)."""
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges written, with their number and an order-free checksum taken on the way."""
+    out, seen = write_step(edges, "stars", n=F.count("*"), sum=F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
+    return out, (seen["n"], seen["sum"])
 
-    def state(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    edges = materialize(edges, "stars")
-    before = state(edges)
+def propagate_minimum(edges: DataFrame) -> DataFrame:
+    """``v, label`` of every vertex of the edges ``a, b`` (a < b). Two jobs a round; a round's tables go with the next."""
+    edges, before = _written(edges)
     while before[0]:
-        edges = materialize(_small_star(materialize(_large_star(edges), "stars")), "stars")
-        now = state(edges)
+        large, (n, _) = _written(_large_star(edges, 2 * before[0]))
+        small, now = _written(_small_star(large, n))
+        drop_steps(edges, large)
+        edges = small
         if now == before:
             break
         before = now

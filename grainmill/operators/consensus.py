@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..session import materialize, spread
 from .components import components
-from .dedup import bands, signatures
-from .joins import join_unique
+from .dedup import bands, buckets, signed
+from .joins import join_unique, semi_join_wide
 
 
 def _sourced(df: DataFrame, key: str) -> DataFrame:
@@ -24,10 +24,17 @@ def hash_sources(df: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def hash_consensus(df: DataFrame, min_sources: int = 2, key: str = "doc_id") -> DataFrame:
-    """``id, text, source``: contents of at least ``min_sources`` sources, the text of the first source and key. One shuffle."""
-    rows = _sourced(df, key).select(T.content(F.col("text")).alias("id"), "text", "source", "doc")
-    grouped = rows.groupBy("id").agg(F.min_by("text", F.struct("source", "doc")).alias("text"), F.array_sort(F.collect_set("source")).alias("source"))
-    return grouped.where(F.size("source") >= min_sources).select(T.short_id(), "text", "source")
+    """``id, text, source``: contents of at least ``min_sources`` sources, the text of the first source and key.
+
+    The sources are gathered by id alone; only the texts that are returned are moved. Rows without a key take no part.
+    """
+    rows = _sourced(df, key).where("doc is not null")
+    ids = rows.select(T.content(F.col("text")).alias("id"), "source", "doc")
+    groups = ids.groupBy("id").agg(F.min(F.struct("source", "doc")).alias("first"), F.array_sort(F.collect_set("source")).alias("source"))
+    groups = materialize(groups.where(F.size("source") >= min_sources).select("id", "first.doc", "source"), "several")
+    texts = semi_join_wide(rows.select("doc", "text"), groups.select("doc"), ["doc"]).join(groups, "doc")
+    same = texts.where(T.content(F.col("text")) == F.col("id"))  # a key may stand at several texts
+    return same.groupBy("id").agg(F.min("text").alias("text"), F.first("source").alias("source")).select(T.short_id(), "text", "source")
 
 
 def participation(consensus: DataFrame) -> DataFrame:
@@ -41,8 +48,8 @@ def cross_source_edges(df: DataFrame, key: str = "doc_id") -> DataFrame:
     All pairs of a bucket with different sources form a complete multipartite graph; the same components come from
     linking every member to the bucket's first document of another source, which is linear in the bucket.
     """
-    rows = _sourced(df, key)
-    met = materialize(bands(signatures(rows, "doc")).join(rows.select("doc", "source"), "doc"), "source-bands")
+    prints = signed(_sourced(df, key), "doc", source=F.col("source")).select("doc", "source", buckets(F.col("signature")).alias("buckets"))
+    met = materialize(bands(prints, "source"), "source-bands")
     per = met.groupBy("band", "bucket", "source").agg(F.min("doc").alias("first"))
     order = F.array_sort(F.collect_list(F.struct("first", "source")))  # one entry per source
     hubs = per.groupBy("band", "bucket").agg(order.alias("o")).where(F.size("o") > 1).select("band", "bucket", F.col("o")[0].alias("hub"), F.col("o")[1].alias("other"))
@@ -55,7 +62,8 @@ def minhash_consensus(df: DataFrame, min_sources: int = 2, key: str = "doc_id")
     """``id, text, source``: one document (the smallest key) of each cross-source cluster, with the cluster's sources."""
     rows = _sourced(df, key)
     labels = materialize(components(cross_source_edges(df, key)), "labels")
-    sources = labels.join(rows.select(F.col("doc").alias("v"), "source"), "v").groupBy("label", "source").count()
-    groups = sources.groupBy("label").agg(F.array_sort(F.collect_set("source")).alias("source")).where(F.size("source") >= min_sources)
-    texts = rows.select(F.col("doc").alias("label"), "text")
-    return texts.join(groups, "label").select(T.doc_id(F.col("text")).alias("id"), "text", "source")
+    sources = labels.join(df.where("text <> '' and source <> ''").select(F.col(key).alias("v"), "source"), "v").groupBy("label", "source").count()
+    groups = materialize(sources.groupBy("label").agg(F.array_sort(F.collect_set("source")).alias("source")).where(F.size("source") >= min_sources), "groups")
+    heads = groups.select(F.col("label").alias("doc"), F.col("source").alias("sources"))
+    texts = semi_join_wide(rows.select("doc", "text"), heads.select("doc"), ["doc"]).join(heads, "doc")
+    return texts.select(T.doc_id(F.col("text")).alias("id"), "text", F.col("sources").alias("source"))

@@ -1,13 +1,18 @@
 """Exact, near and sentence-level duplicates.
 
 Near duplicates are MinHash-LSH: ``BANDS`` bands of ``ROWS`` minima over hashed word shingles; sharing a band is the
-verdict, there is no further check. Hashes come from md5 so that any SQL engine can reproduce them.
+verdict, there is no further check. Hashes come from md5 so that any SQL engine can reproduce them. A text is signed
+within its row, in one pass over the texts; what is shuffled afterwards are keys and 16-byte digests.
 """
 
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
+from hashlib import md5
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +20,7 @@ from ..functions import text as T
 from ..functions.text import bind
 from ..session import materialize, spread
 from .components import components
-from .joins import join_unique
+from .joins import anti_join_wide, join_unique, left_join_wide
 
 #: Values that results depend on; fixed values.
 SHINGLE, BANDS, ROWS = 5, 14, 8
@@ -36,45 +41,85 @@ def exact_dedup(df: DataFrame, key: str = "doc_id", text_col: str = "text") -> D
     return rows.groupBy("id").agg(F.min(key).alias("kept"), F.count("*").alias("copies")).select(T.short_id(), "kept", "copies")
 
 
-def shingle_hash(shingle: Column) -> Column:
-    """31 bits of the md5."""
-    return F.conv(F.substring(F.md5(shingle.cast("binary")), 1, 8), 16, 10).cast("bigint").bitwiseAND(F.lit(PRIME).cast("bigint"))
-
-
 def shingles(df: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc, s``: the distinct word n-grams of every text."""
     rows = bind(spread(df.where(f"{text_col} is not null").select(F.col(key).alias("doc"), text_col)), w=T.words(F.lower(text_col)))
     return rows.select("doc", F.explode(F.array_distinct(T.ngrams(F.col("w"), SHINGLE))).alias("s"))
 
 
+#: Hashes that are permuted at a time.
+_AT_ONCE = 400_000
+
+
+def _shingle_hashes(w: list[str]) -> bytes:
+    """The first four bytes of the md5 of every shingle, end to end."""
+    return b"".join([md5(" ".join(w[i : i + SHINGLE]).encode()).digest()[:4] for i in range(len(w) - SHINGLE + 1)])
+
+
+def _minima(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """By text and permutation the least hash; ``first`` is where each text's hashes begin, none is empty."""
+    out = np.empty((len(first), BANDS * ROWS), np.int64)
+    for i, (a, b) in enumerate(permutations()):
+        out[:, i] = np.minimum.reduceat((h * a + b) % PRIME, first)
+    return out
+
+
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replaces the words ``w`` by the ``signature``, null for fewer words than SHINGLE."""
+    for batch in batches:
+        lists = batch.column("w").to_pylist()
+        made, start = np.zeros((len(lists), BANDS * ROWS), np.int64), 0
+        some = np.array([w is not None and len(w) >= SHINGLE for w in lists], bool)
+        rows = np.flatnonzero(some).tolist()
+        while start < len(rows):
+            end, total, parts = start, 0, []
+            while end < len(rows) and total < _AT_ONCE:
+                parts.append(_shingle_hashes(lists[rows[end]]))
+                total += len(parts[-1]) // 4
+                end += 1
+            h = np.frombuffer(b"".join(parts), ">u4").astype(np.int64) & PRIME
+            made[rows[start:end]] = _minima(h, np.cumsum([0, *(len(p) // 4 for p in parts[:-1])]))
+            start = end
+        ends = np.r_[0, np.cumsum(np.where(some, BANDS * ROWS, 0))].astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(made[some].ravel()), mask=pa.array(~some))
+        rest = [n for n in batch.schema.names if n != "w"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in rest), lists], [*rest, "signature"])
+
+
+def signed(df: DataFrame, key: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
+    """``doc``, the columns of ``more`` and the ``signature`` (null for short texts) of every text. No shuffle."""
+    rows = spread(df.where(f"{text_col} is not null"))
+    rows = rows.select(F.col(key).alias("doc"), *(c.alias(n) for n, c in more.items()), T.words(F.lower(text_col)).alias("w"))
+    schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes if n != "w") + ", signature array<bigint>"
+    return rows.mapInArrow(_sign, schema)
+
+
 def signatures(df: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc, signature`` of every text of at least SHINGLE words; partial minima are taken before the shuffle."""
-    rows = shingles(df, key, text_col).select("doc", shingle_hash(F.col("s")).alias("h"))
-    minima = [F.min((F.col("h") * a + b) % PRIME).alias(f"m{i}") for i, (a, b) in enumerate(permutations())]
-    return rows.groupBy("doc").agg(*minima).select("doc", F.array(*(f"m{i}" for i in range(len(minima)))).alias("signature"))
+    """``doc, signature`` of every text of at least SHINGLE words."""
+    return signed(df, key, text_col).where("signature is not null")
 
 
-def bands(signed: DataFrame) -> DataFrame:
-    """``doc, band, bucket``."""
-    parts = [F.struct(F.lit(b).alias("band"), F.md5(F.array_join(F.slice("signature", b * ROWS + 1, ROWS).cast("array<string>"), ",").cast("binary")).alias("bucket")) for b in range(BANDS)]
-    return signed.select("doc", F.inline(F.array(*parts)))
+def buckets(signature: Column) -> Column:
+    """By band the digest of its minima."""
+    part = lambda b: F.unhex(F.md5(F.array_join(F.slice(signature, b * ROWS + 1, ROWS).cast("array<string>"), ",").cast("binary")))
+    return F.when(signature.isNotNull(), F.array(*(part(b) for b in range(BANDS))))
 
 
-def representatives(df: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc, rep``: the smallest key with the same content."""
-    rows = materialize(spread(df.where(f"{text_col} is not null").select(key, text_col)).select(F.col(key).alias("doc"), T.doc_id(F.col(text_col), 32).alias("id")), "ids")
-    return join_unique(rows, rows.groupBy("id").agg(F.min("doc").alias("rep")), ["id"]).select("doc", "rep")
+def bands(rows: DataFrame, *keep: str) -> DataFrame:
+    """``doc``, the columns of ``keep``, ``band`` and ``bucket`` from rows with ``buckets``."""
+    return rows.select("doc", *keep, F.posexplode("buckets").alias("band", "bucket"))
 
 
 def minhash_edges(df: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``a, b`` (a < b): each member of a band's bucket with its smallest member, and each copy with its first.
 
-    Only one text of each content is signed, so a content of very many copies fills no bucket.
+    Only one text of each content goes into the bands, so a content of very many copies fills no bucket.
     """
-    reps = materialize(representatives(df, key, text_col), "reps")
-    copies = reps.where("doc <> rep").select(F.col("rep").alias("a"), F.col("doc").alias("b"))
-    first = reps.where("doc = rep").select(F.col("doc").alias(key)).distinct()
-    rows = materialize(bands(signatures(spread(df.select(key, text_col)).join(first, key, "left_semi"), key, text_col)), "bands")
+    prints = signed(df, key, text_col, id=F.unhex(T.content(F.col(text_col))))
+    prints = materialize(prints.select("doc", "id", buckets(F.col("signature")).alias("buckets")), "prints")
+    several = prints.groupBy("id").agg(F.min("doc").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    copies = materialize(join_unique(prints.select("doc", "id"), several, ["id"]).where("doc <> a").select("a", F.col("doc").alias("b")), "copies")
+    rows = materialize(bands(anti_join_wide(prints.select("doc", "buckets"), copies.select(F.col("b").alias("doc")), ["doc"])), "bands")
     least = rows.groupBy("band", "bucket").agg(F.min("doc").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
     stars = join_unique(rows, least, ["band", "bucket"]).where("doc <> a").select("a", F.col("doc").alias("b"))
     return stars.unionByName(copies).distinct()
@@ -86,9 +131,9 @@ def minhash_clusters(df: DataFrame, key: str = "doc_id", text_col: str = "text")
 
 
 def minhash_dedup(df: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows without the near duplicates of a smaller key."""
-    gone = minhash_clusters(df, key, text_col).where("v <> label").select(F.col("v").alias(key))
-    return df.join(gone, key, "left_anti")
+    """Rows without the near duplicates of a smaller key. Texts that surely stay are not moved."""
+    gone = materialize(minhash_clusters(df, key, text_col).where("v <> label").select(F.col("v").alias(key)), "gone")
+    return anti_join_wide(df, gone, [key])
 
 
 def sentences(s: Column) -> Column:
@@ -97,20 +142,30 @@ def sentences(s: Column) -> Column:
     return F.filter(F.transform(F.split(marked, "\n"), T.collapse), lambda x: x != "")
 
 
-def sentence_dedup(df: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``key, text, dropped``: texts without the sentences of spans seen SPAN_COUNT times or more (all occurrences go).
+def _spans(rows: DataFrame) -> DataFrame:
+    """``doc, at, h``: the digest of every span of SPAN sentences that are all long enough."""
+    places = F.transform(F.sequence(F.lit(1), F.greatest(F.size("s") - (SPAN - 1), F.lit(1))), lambda i: F.slice("s", i, SPAN))
+    spans = rows.where(F.size("s") >= SPAN).select("doc", F.posexplode(places).alias("at", "span"))
+    digest = F.unhex(F.md5(F.array_join(F.transform("span", F.lower), "\n").cast("binary")))
+    spans = spans.select("doc", "at", F.transform("span", T.word_count).alias("w"), digest.alias("h"))
+    return spans.where(F.expr(f"forall(w, x -> x >= {SENTENCE_WORDS})")).select("doc", "at", "h")
+
+
+def sentence_dedup(df: DataFrame, key: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``key, text, dropped`` and the columns of ``keep``: texts without the sentences of spans seen SPAN_COUNT times or
+    more (all occurrences go).
 
-    Only sentences of SENTENCE_WORDS words or more form spans; texts left with fewer than DOCUMENT_WORDS words go. The
-    spans move as hashes; the texts stay where they are until the few places to drop come back.
+    Only sentences of SENTENCE_WORDS words or more form spans; texts left with fewer than DOCUMENT_WORDS words go. Spans
+    are written once as digests. Texts stay where they are: only those that may lose a sentence meet their places.
     """
-    rows = bind(spread(df.select(F.col(key).alias("doc"), text_col)), s=sentences(F.coalesce(F.col(text_col), F.lit("")))).select("doc", "s")
-    long = F.expr(f"forall(w, x -> x >= {SENTENCE_WORDS})")
-    spans = rows.where(F.size("s") >= SPAN).select("doc", F.posexplode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("s") - (SPAN - 1), F.lit(1))), lambda i: F.slice("s", i, SPAN))).alias("at", "span"))
-    spans = spans.select("doc", "at", F.transform("span", T.word_count).alias("w"), F.md5(F.array_join(F.transform("span", F.lower), "\n").cast("binary")).alias("h")).where(long).select("doc", "at", "h")
+    split = lambda t: bind(spread(t), s=sentences(F.coalesce(F.col(text_col), F.lit(""))))
+    spans = materialize(_spans(split(df.select(F.col(key).alias("doc"), text_col)).select("doc", "s")), "spans")
     often = spans.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= SPAN_COUNT).select("h")
-    places = spans.join(often, "h", "left_semi").groupBy("doc").agg(F.collect_set("at").alias("starts"))  # at most one entry per sentence of a text
-    met = rows.join(places, "doc", "left").withColumn("starts", F.coalesce("starts", F.array().cast("array<int>")))
+    places = join_unique(spans, often, ["h"]).groupBy("doc").agg(F.collect_set("at").alias("starts"))  # at most one entry per sentence of a text
+    places = materialize(places, "places")
+    rows = split(df.select(F.col(key).alias("doc"), text_col, *keep)).select("doc", *keep, "s")
+    met = left_join_wide(rows, places, ["doc"]).withColumn("starts", F.coalesce("starts", F.array().cast("array<int>")))
     kept = F.expr(f"filter(s, (x, i) -> NOT exists(starts, j -> i >= j AND i < j + {SPAN}))")
-    out = met.select("doc", kept.alias("kept"), (F.size("s") - F.size(kept)).alias("dropped"))
+    out = bind(met, kept=kept)
     text = F.array_join("kept", " ")
-    return out.where(T.word_count(text) >= DOCUMENT_WORDS).select(F.col("doc").alias(key), text.alias("text"), "dropped")
+    return out.where(T.word_count(text) >= DOCUMENT_WORDS).select(F.col("doc").alias(key), text.alias("text"), *keep, (F.size("s") - F.size("kept")).alias("dropped"))

@@ -65,6 +65,38 @@ def test_hot_keys_are_joined_apart(spark):
     assert len(plain) == 51
 
 
+@pytest.mark.parametrize("few", [0, 1000])
+def test_wide_rows_and_lists_of_keys(spark, monkeypatch, few):
+    from grainmill.operators import joins
+
+    monkeypatch.setattr(joins, "FEW_KEYS", few)
+    rows = spark.createDataFrame([(i % 50 if i % 7 else None, f"t{i}") for i in range(200)], "k bigint, text string")
+    keys = spark.createDataFrame([(k,) for k in (0, 3, 3, 49, 77, None)], "k bigint")
+    got = lambda df: sorted((-1 if r.k is None else r.k, r.text) for r in df.select("k", "text").collect())
+    every = got(rows)
+    assert got(joins.semi_join_wide(rows, keys, ["k"])) == [r for r in every if r[0] in (0, 3, 49)]
+    assert got(joins.anti_join_wide(rows, keys, ["k"])) == [r for r in every if r[0] not in (0, 3, 49)]
+    one = keys.where("k is not null").distinct().withColumn("n", F.col("k") * 2)
+    met = joins.left_join_wide(rows, one, ["k"])
+    assert got(met) == every
+    assert {r.k: r.n for r in met.where("n is not null").collect()} == {0: 0, 3: 6, 49: 98}
+    assert joins.semi_join_wide(rows, keys.limit(0), ["k"]).count() == 0
+
+
+def test_no_text_moves_with_the_near_duplicates(spark, tmp_path, monkeypatch):
+    """Texts are signed where they are read, and no exchange holds them."""
+    from grainmill.operators import joins
+
+    from grainmill import session
+
+    docs(spark, [(i, " ".join(words(i % 3, 30)), "a") for i in range(9)]).write.parquet(str(tmp_path / "t"))
+    monkeypatch.setattr(session, "SMALL_TABLE", 0)
+    monkeypatch.setattr(joins, "FEW_KEYS", 0)
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert "Exchange" not in dedup.signatures(df)._jdf.queryExecution().executedPlan().toString()
+    assert {r.doc_id for r in dedup.minhash_dedup(df).collect()} == {0, 1, 2}
+
+
 def words(seed, n=60):
     draw = random.Random(seed)
     return ["".join(draw.choice("abcdefghilmnoprstuvz") for _ in range(5)) for _ in range(n)]
