@@ -79,7 +79,7 @@ class _Choice:
         return any(p.optional for p in own)
 
 
-def marked_lines(df: DataFrame, profile: LanguageProfile | dict[str, LanguageProfile], text_col: str = "text") -> DataFrame:
+def marked_lines(df: DataFrame, profile: LanguageProfile | dict[str, LanguageProfile], text_col: str = "text", deal: bool = True) -> DataFrame:
     """Adds ``q_reason`` of the raw text and, where it has none, ``q_lines`` with the reason each line is dropped."""
     choose, s = _Choice(profile), F.coalesce(F.col(text_col), F.lit(""))
 
@@ -87,14 +87,14 @@ def marked_lines(df: DataFrame, profile: LanguageProfile | dict[str, LanguagePro
         body = F.regexp_replace(s, p.citation.replace(r"\d", r"\p{Nd}"), "") if p.citation else s
         return F.transform(T.lines(body), lambda x: F.struct(x.alias("line"), _line_reason(p, x).alias("reason")))
 
-    df = bind(spread(df), q_reason=choose(lambda p: _document_reason(p, s), F.lit("no_profile")))
+    df = bind(spread(df) if deal else df, q_reason=choose(lambda p: _document_reason(p, s), F.lit("no_profile")))
     return bind(df, q_lines=F.when(F.col("q_reason").isNull(), choose(marked)))
 
 
-def annotate(df: DataFrame, profile: LanguageProfile | dict[str, LanguageProfile], text_col: str = "text") -> DataFrame:
+def annotate(df: DataFrame, profile: LanguageProfile | dict[str, LanguageProfile], text_col: str = "text", deal: bool = True) -> DataFrame:
     """Adds ``reject_reason`` (null: kept) and ``filtered_text`` (null: rejected)."""
     choose, names = _Choice(profile), [c for c in df.columns if c != "q_lang"]
-    df = bind(marked_lines(df, profile, text_col), q_kept=F.transform(F.filter("q_lines", lambda x: x.reason.isNull()), lambda x: x.line))
+    df = bind(marked_lines(df, profile, text_col, deal), q_kept=F.transform(F.filter("q_lines", lambda x: x.reason.isNull()), lambda x: x.line))
     kept, s = F.col("q_kept"), F.col("q_text")
     df = bind(
         df,
@@ -189,11 +189,32 @@ def language_code(lang: Column) -> Column:
 
 
 def reason_histogram(df: DataFrame, profile: LanguageProfile, text_col: str = "text") -> DataFrame:
-    rows = annotate(df.select(text_col), profile, text_col)
-    return rows.groupBy(F.coalesce("reject_reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("documents"))
+    return reason_histograms(df, {profile.code: profile}, text_col).drop("profile")
 
 
 def line_drop_histogram(df: DataFrame, profile: LanguageProfile, text_col: str = "text") -> DataFrame:
     """How many lines each line rule dropped, in the documents that came as far as the lines."""
-    rows = marked_lines(df.select(text_col), profile, text_col).select(F.explode("q_lines.reason").alias("reason"))
-    return rows.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count("*").alias("lines"))
+    return line_drop_histograms(df, {profile.code: profile}, text_col).drop("profile")
+
+
+def reason_histograms(df: DataFrame, profiles: dict[str, LanguageProfile], text_col: str = "text") -> DataFrame:
+    """``profile, reason, documents`` of all profiles from one scan: each row is judged by every profile in turn."""
+    rows = spread(df.select(F.col(text_col).alias("text")))
+    for code, p in profiles.items():
+        rows = annotate(rows, p, deal=False).drop("filtered_text").withColumnRenamed("reject_reason", f"by_{code}")
+    made = F.array(*(F.struct(F.lit(code).alias("profile"), F.coalesce(f"by_{code}", F.lit("kept")).alias("reason")) for code in profiles))
+    return rows.select(F.inline(made)).groupBy("profile", "reason").agg(F.count("*").alias("documents"))
+
+
+def _line_of(code: str) -> Callable[[Column], Column]:
+    return lambda r: F.struct(F.lit(code).alias("profile"), F.coalesce(r, F.lit("kept")).alias("reason"))
+
+
+def line_drop_histograms(df: DataFrame, profiles: dict[str, LanguageProfile], text_col: str = "text") -> DataFrame:
+    """``profile, reason, lines`` of all profiles from one scan."""
+    rows = spread(df.select(F.col(text_col).alias("text")))
+    for code, p in profiles.items():
+        made = F.transform("q_lines.reason", _line_of(code))
+        rows = marked_lines(rows, p, deal=False).withColumn(f"by_{code}", made).drop("q_reason", "q_lines")
+    every = F.flatten(F.array(*(F.coalesce(f"by_{code}", F.array().cast("array<struct<profile:string,reason:string>>")) for code in profiles)))
+    return rows.select(F.inline(every)).groupBy("profile", "reason").agg(F.count("*").alias("lines"))
