@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,17 +40,6 @@ def _judged(p: LanguageProfile) -> Query:
     return _docs(lambda t: quality.annotate(t.select("doc_id", "text"), p).select("doc_id", "reject_reason", "filtered_text"))
 
 
-def _each_profile(make: Callable[[DataFrame, LanguageProfile], DataFrame]) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = None
-        for code, p in PROFILES.items():
-            part = make(table(spark, sf_dir, "documents"), p).withColumn("profile", F.lit(code))
-            out = part if out is None else out.unionByName(part)
-        return out
-
-    return run
-
-
 def _joined(df: DataFrame, column: str = "sources", to: str = "sources") -> DataFrame:
     """A list as text, so that any engine's rows compare."""
     return df.withColumn(column, F.array_join(column, ",")).withColumnRenamed(column, to)
@@ -96,6 +86,30 @@ def _written(df: DataFrame, write: Callable[[DataFrame, str], None], schema: str
     return readers.parquet_folder(df.sparkSession, path, schema)
 
 
+def _as_json(t: DataFrame, ending: str, read: Callable) -> DataFrame:
+    """The texts as packed JSON lines in files of the given ending, read back."""
+    spark, path = t.sparkSession, fresh_path(t.sparkSession, "json")
+    t.select("text").write.option("compression", "gzip" if ending.endswith("gz") else "none").json(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for i, f in enumerate(fs.listStatus(at(path))):
+        if f.getPath().getName().startswith("part-"):
+            fs.rename(f.getPath(), at(f"{path}/lines{i}{ending}"))
+    return read(spark, path)
+
+
+def _appended(t: DataFrame, path: str) -> None:
+    writers.write_standard(t, path)
+    writers.write_standard(t, path, source="again", mode="append")
+
+
+def _rejected(t: DataFrame) -> DataFrame:
+    """What the exclusion sink wrote."""
+    path = fresh_path(t.sparkSession, "rejected")
+    writers.split_rejected(quality.annotate(t.select("doc_id", "text"), PROFILES["it"]), f"{path}/kept", f"{path}/rejected")
+    return t.sparkSession.read.parquet(f"{path}/rejected").select("doc_id", "reject_reason")
+
+
 def _consolidated(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(df: DataFrame, path: str) -> None:
         df.select("text", "id", "source").repartition(40).write.parquet(path)
@@ -133,7 +147,9 @@ def queries() -> dict[str, Query]:
         "p6_records": lambda s, d: compaction.compacted_records(table(s, d, "small_files")),
         "q_flagship": flagship,
         "q_scan_standard": _docs(lambda t: t.select("doc_id", "text", "lang", "source", "domain")),
-        "q_row_counts": _docs(lambda t: t.groupBy("source").agg(F.count("*").alias("n"))),
+        "q_row_counts": lambda s, d: readers.row_counts(s, f"{d}/documents.parquet"),
+        "q_json_lines": _docs(lambda t: _as_json(t, ".json.gz", readers.json_lines)),
+        "q_json_chunks": _docs(lambda t: _as_json(t, "_chunk", readers.chunked_json_lines)),
         "q_file_source": lambda s, d: table(s, d, "file_info").select("filepath", readers.path_source(F.col("filepath")).alias("folder")).where(F.coalesce("folder", F.lit("")) != readers.SKIPPED),
         "q_source_normalize": _docs(lambda t: t.select("doc_id", F.array_join(T.source_list(F.col("source")), ",").alias("sources"))),
         "q_convert_standard": _docs(lambda t: readers.convert(t, "web")),
@@ -146,9 +162,11 @@ def queries() -> dict[str, Query]:
         "q_char_repetition": _docs(lambda t: t.select("doc_id", T.has_char_run(_text()).alias("repeats"))),
         "q_lang_repetition": _docs(lambda t: t.select("doc_id", *(_text().rlike(p.laughter).alias(k) for k, p in PROFILES.items()))),
         "q_shingles": _docs(_shingles),
-        "q_reject_reason_histogram": _each_profile(quality.reason_histogram),
-        "q_line_drop_histogram": _each_profile(quality.line_drop_histogram),
+        "q_reject_reason_histogram": _docs(lambda t: quality.reason_histograms(t, PROFILES)),
+        "q_line_drop_histogram": _docs(lambda t: quality.line_drop_histograms(t, PROFILES)),
         "q_quality_lenient_ar": _judged(LENIENT_ARABIC),
+        "q_quality_letters_it": _judged(replace(PROFILES["it"], min_specific_ratio=oracle.ITALIAN_LETTERS)),
+        "q_rejected": _docs(_rejected),
         "q_quality_optional_it": _judged(PROFILES["it"].with_optional_rules()),
         "q_quality_by_language": _docs(lambda t: quality.annotate_by_language(t.select("doc_id", "lang", "text")).select("doc_id", "reject_reason")),
         "q_hash_sources": _docs(lambda t: _joined(consensus.hash_sources(t))),
@@ -178,12 +196,14 @@ def queries() -> dict[str, Query]:
         "q_address_lookup": _addresses,
         "q_repack_flatten": _consensus(writers.flatten),
         "q_write_standard": _docs(lambda t: _written(t, writers.write_standard)),
+        "q_append_standard": _docs(lambda t: _written(t, _appended)),
+        "q_write_consensus": _docs(lambda t: _joined(_written(consensus.hash_consensus(t), writers.write_consensus, readers.CONSENSUS_SCHEMA), "source", "source")),
         "q_consolidate": _consolidated,
         "q_repack": _consensus(lambda t: _written(writers.flatten(t), writers.repack)),
         "q_top_sources": _docs(lambda t: t.where("source <> ''").groupBy("source").agg(F.count("*").alias("documents")).orderBy(F.desc("documents"), "source").limit(5)),
         "q_stream_quality": _streamed(lambda t: stream.annotate(t.select("doc_id", "text"), PROFILES["it"])),
-        "q_stream_exact_dedup": _streamed(lambda t: stream.first_of_content(t).select("doc_id", "id")),
-        "q_stream_crawl_counts": _streamed(stream.crawl_counts),
+        "q_stream_exact_dedup": _streamed(lambda t: stream.first_of_content(t).select("id")),
+        "q_stream_crawl_counts": lambda s, d: _streamed(stream.crawl_counts)(s, d).withColumn("start", F.date_format("start", "yyyy-MM-dd")),
     }
     for code, p in PROFILES.items():
         out[f"q_quality_filter_{code}"] = _judged(p)

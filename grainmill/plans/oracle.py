@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from ..functions import lexicons as lex
 from ..functions.profiles import LENIENT_ARABIC, PROFILES, LanguageProfile, alternation
 from ..functions.text import WS
 from ..operators import dedup
 
 
+#: The share of accented letters that the Italian letter rule asks for where it is turned on.
+ITALIAN_LETTERS = 0.01
+
+
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -91,6 +97,24 @@ judged AS (SELECT doc_id, {case(rules)} AS raw_reason, t FROM base),
 cut AS (SELECT doc_id, raw_reason, CASE WHEN raw_reason IS NULL THEN list_transform({lines(body)}, lambda x: struct_pack(line := x, reason := {line_reason(p, 'x')})) END AS m FROM judged)"""
 
 
+def _top_share(n: int) -> str:
+    grams = f"list_transform(range(1, greatest(len(w_) - {n - 2}, 1)), lambda i: array_to_string(w_[i:i + {n - 1}], ' '))"
+    most = "list_max(list_transform(map_entries(list_aggregate({}, 'histogram')), lambda pair: CASE WHEN pair.value > 1 THEN pair.value * length(pair.key) ELSE 0 END))"
+    return ratio(f"CASE WHEN len(w_) >= {n} THEN coalesce({most.format(grams)}, 0) ELSE 0 END", "length(out)")
+
+
+def optional(p: LanguageProfile) -> list[tuple[str, str]]:
+    mean, rules = ratio("list_sum(list_transform(w_, lambda x: length(x)))", "len(w_)"), []
+    for limit, test, reason in (
+        (p.min_avg_word_length, f"{mean} < {p.min_avg_word_length}", "avg_word_too_short"), (p.max_avg_word_length, f"{mean} > {p.max_avg_word_length}", "avg_word_too_long"),
+        (p.dup_line_frac, f"{ratio('n - nd', 'n')} > {p.dup_line_frac}", "dup_line_frac"), (p.top_5_gram_frac, f"{_top_share(5)} > {p.top_5_gram_frac}", "top_5_gram_frac"), (p.top_10_gram_frac, f"{_top_share(10)} > {p.top_10_gram_frac}", "top_10_gram_frac"),
+        (p.non_alpha_words_ratio, f"{ratio(f'len(list_filter(w_, lambda x: regexp_matches(x, {q(chr(92) + "p{L}")})))', 'len(w_)')} < {p.non_alpha_words_ratio}", "non_alpha_words"),
+    ):
+        if limit is not None:
+            rules.append((test, reason))
+    return rules
+
+
 def filtered(p: LanguageProfile) -> str:
     """CTEs up to ``done(doc_id, reject_reason, filtered_text)``."""
     total = "coalesce(list_sum(list_transform({}, lambda x: length(x))), 0)"
@@ -98,15 +122,15 @@ def filtered(p: LanguageProfile) -> str:
         ("raw_reason IS NOT NULL", "raw"), ("n = 0", "empty"), (f"w < {p.min_doc_words}", "too_few_words"),
         (f"{ratio('e', 'n')} < {p.line_punct_thr}" + (" AND e > 0" if p.line_punct_exclude_zero else ""), "line_punct_ratio"),
         (f"{ratio('s', 'n')} > {p.short_line_thr}", "short_line_ratio"), (f"{ratio('b', 'n')} > {p.max_bullet_ratio}", "bullet_ratio"), (f"{ratio('n - 1', 'w')} > {p.new_line_ratio}", "list_ratio"),
-        (f"{ratio('c - d', 'c')} > {p.char_duplicates_ratio}", "char_dup_ratio"), (f"runs OR regexp_matches(out, {q(p.laughter)})", "excessive_repetition"),
+        (f"{ratio('c - d', 'c')} > {p.char_duplicates_ratio}", "char_dup_ratio"), (f"runs OR regexp_matches(out, {q(p.laughter)})", "excessive_repetition"), *optional(p),
     ]
     return f"""{marked(p)},
 kept AS (SELECT doc_id, raw_reason, list_transform(list_filter(m, lambda x: x.reason IS NULL), lambda x: x.line) AS k FROM cut),
 sized AS (SELECT doc_id, raw_reason, len(k) AS n, coalesce(list_sum(list_transform(k, lambda x: {word_count('x')})), 0) AS w, len(list_filter(k, lambda x: {any_of('right(x, 1)', p.line_ends)})) AS e,
   len(list_filter(k, lambda x: length(x) <= {p.short_line_length})) AS s, len(list_filter(k, lambda x: {any_of('left(x, 1)', lex.BULLETS)})) AS b,
-  {total.format('k')} AS c, {total.format('list_distinct(k)')} AS d, array_to_string(k, chr(10)) AS out FROM kept),
+  {total.format('k')} AS c, {total.format('list_distinct(k)')} AS d, len(list_distinct(k)) AS nd, array_to_string(k, chr(10)) AS out FROM kept),
 spelled AS (SELECT *, regexp_extract_all(coalesce(out, ''), '(?s).') AS c_ FROM sized),
-run AS (SELECT * EXCLUDE (c_), len({runs('c_', p.max_char_repetition)}) > 0 AS runs FROM spelled),
+run AS (SELECT * EXCLUDE (c_), len({runs('c_', p.max_char_repetition)}) > 0 AS runs, {words("coalesce(out, '')")} AS w_ FROM spelled),
 done AS (SELECT doc_id, coalesce(raw_reason, {case(rules[1:])}) AS reject_reason, out FROM run)"""
 
 
@@ -141,10 +165,15 @@ sig AS (SELECT doc, [{', '.join(f'min((h * {a} + {b}) % {dedup.PRIME})' for a, b
 band AS (SELECT doc, b AS band, md5(array_to_string(list_transform(g[b * {dedup.ROWS} + 1:b * {dedup.ROWS} + {dedup.ROWS}], lambda x: x::VARCHAR), ',')) AS bucket FROM sig, range({dedup.BANDS}) AS r(b))"""
 
 
-_EDGES = f"""rep AS (SELECT doc_id AS doc, min(doc_id) OVER (PARTITION BY {doc_id('text', 32)}) AS rep FROM documents WHERE text IS NOT NULL),
-firsts AS (SELECT * FROM documents WHERE doc_id IN (SELECT rep FROM rep)),
+
+def _edges(table: str) -> str:
+    return f"""rep AS (SELECT doc_id AS doc, min(doc_id) OVER (PARTITION BY {doc_id('text', 32)}) AS rep FROM {table} WHERE text IS NOT NULL),
+firsts AS (SELECT * FROM {table} WHERE doc_id IN (SELECT rep FROM rep)),
 {_shingled(table='firsts')},
 edges AS (SELECT least, doc FROM (SELECT min(doc) OVER (PARTITION BY band, bucket) AS least, doc FROM band) WHERE least <> doc UNION SELECT rep, doc FROM rep WHERE rep <> doc)"""
+
+
+_EDGES = _edges("documents")
 _LABELS = """walk AS (SELECT least AS v, least AS r FROM edges UNION SELECT doc, doc FROM edges UNION SELECT e.y, w.r FROM walk w JOIN (SELECT least AS x, doc AS y FROM edges UNION ALL SELECT doc, least FROM edges) e ON e.x = w.v WHERE w.r < e.y),
 labels AS (SELECT v, min(r) AS label FROM walk GROUP BY v)"""
 _CROSS = f"""src AS (SELECT * FROM documents WHERE text <> '' AND source <> ''),
@@ -168,6 +197,20 @@ k AS (SELECT s.doc_id, s, list_transform(list_filter(range(1, len(s) + 1), lambd
 SELECT doc_id, coalesce(array_to_string(kept, ' '), '') AS text, (len(s) - len(kept))::INTEGER AS dropped FROM k WHERE {word_count("coalesce(array_to_string(kept, ' '), '')")} >= {dedup.DOCUMENT_WORDS}"""
 
 
+def _filtered_by_language() -> str:
+    parts = [f"SELECT d.doc_id, d.source, r.filtered_text AS text FROM (SELECT doc_id, source FROM documents WHERE {language()} = '{k}') d JOIN ({quality(p)}) r USING (doc_id) WHERE r.reject_reason IS NULL" for k, p in PROFILES.items()]
+    return _union(parts)
+
+
+def _yields() -> str:
+    """Documents, kept and deduplicated ones of every source."""
+    count = lambda table, more="": f"SELECT coalesce(source, '') AS source, count(*) AS n{more} FROM {table} GROUP BY 1"
+    return f"""WITH RECURSIVE passed AS MATERIALIZED ({_filtered_by_language()}), {_edges('passed')}, {_LABELS},
+remain AS (SELECT * FROM passed WHERE doc_id NOT IN (SELECT v FROM labels WHERE v <> label))
+SELECT a.source, a.n AS documents, coalesce(b.n, 0)::BIGINT AS kept, coalesce(c.n, 0)::BIGINT AS deduplicated, coalesce(c.t, 0)::BIGINT AS tokens
+FROM ({count('documents')}) a LEFT JOIN ({count('passed')}) b ON a.source = b.source LEFT JOIN ({count('remain', f", sum(coalesce({word_count('text')}, 0)) AS t")}) c ON a.source = c.source"""
+
+
 def _record_keys() -> str:
     """Keys of the lines that are whole JSON objects with a number or string of digits as key."""
     line = "trim(ltrim(trim(l, ' ' || chr(9) || chr(13)), chr(65279)), ' ' || chr(9) || chr(13))"
@@ -182,7 +225,17 @@ def sql() -> dict[str, str]:
     script = ", ".join(f"round({ratio(found(one, f'[{p.script}]'), found(one, chr(92) + 'p{L}'))}, 6) AS {k}" for k, p in PROFILES.items())
     out = {
         "q_scan_standard": "SELECT doc_id, text, lang, source, domain FROM documents",
-        "q_row_counts": "SELECT source, count(*) AS n FROM documents GROUP BY source",
+        "q_row_counts": "SELECT 'documents.parquet' AS file, count(*) AS rows FROM documents",
+        "q_json_lines": "SELECT text FROM documents WHERE text <> ''",
+        "q_json_chunks": "SELECT text FROM documents WHERE text <> ''",
+        "q_flagship": _yields(),
+        "q_quality_optional_it": quality(PROFILES["it"].with_optional_rules()),
+        "q_quality_letters_it": quality(replace(PROFILES["it"], min_specific_ratio=ITALIAN_LETTERS)),
+        "q_rejected": f"SELECT doc_id, reject_reason FROM ({quality(PROFILES['it'])}) WHERE reject_reason IS NOT NULL",
+        "q_stream_quality": f"SELECT doc_id, text, reject_reason, filtered_text FROM ({quality(PROFILES['it'])}) JOIN documents USING (doc_id)",
+        "q_stream_exact_dedup": f"SELECT DISTINCT {doc_id('text', 32)} AS id FROM documents WHERE text IS NOT NULL",
+        "q_stream_crawl_counts": "SELECT strftime(to_timestamp(floor(epoch(crawled_at) / 604800) * 604800) AT TIME ZONE 'UTC', '%Y-%m-%d') AS start, source, count(*) AS documents FROM documents GROUP BY ALL",
+        "q_append_standard": f"SELECT text, {doc_id('text')} AS id, source FROM documents WHERE text <> '' UNION ALL SELECT text, {doc_id('text')}, 'again' FROM documents WHERE text <> ''",
         "q_file_source": r"SELECT filepath, nullif(regexp_extract(filepath, '(?:^|/)data/[^/]+/[^/]+/([^/]+)/', 1), '') AS folder FROM file_info WHERE regexp_extract(filepath, '(?:^|/)data/[^/]+/[^/]+/([^/]+)/', 1) <> 'misc'",
         "q_source_normalize": "SELECT doc_id, coalesce(nullif(source, ''), 'unknown') AS sources FROM documents",
         "q_convert_standard": f"SELECT text, {doc_id('text')} AS id, 'web' AS source FROM documents WHERE text <> ''",
@@ -236,6 +289,7 @@ SELECT task, doc, source, filepath, doc - cumulative_start AS "row" FROM p JOIN
         "q_top_sources": "SELECT source, count(*) AS documents FROM documents WHERE source <> '' GROUP BY source ORDER BY documents DESC, source LIMIT 5",
     }
     out["p6_found"] = _record_keys()
+    out["q_write_consensus"] = out["q_consensus_hash"].replace(" AS sources ", " AS source ")
     for k, p in PROFILES.items():
         out[f"q_quality_filter_{k}"] = quality(p)
     return out
