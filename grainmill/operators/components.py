@@ -39,14 +39,14 @@ def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
 def propagate_minimum(edges: DataFrame) -> DataFrame:
     """``v, label`` of every vertex of the edges ``a, b`` (a < b). Two jobs a round; a round's tables go with the next."""
     edges, before = _written(edges)
+    down = False  # whether the last small star changed nothing
     while before[0]:
-        large, (n, _) = _written(_large_star(edges, 2 * before[0]))
-        small, now = _written(_small_star(large, n))
-        drop_steps(edges, large)
-        edges = small
-        if now == before:
+        large, mid = _written(_large_star(edges, 2 * before[0]))
+        if down and mid == before:  # neither star changes anything
             break
-        before = now
+        small, now = _written(_small_star(large, mid[0]))
+        drop_steps(edges, large)
+        edges, before, down = small, now, now == mid
     return edges.select(F.col("b").alias("v"), F.col("a").alias("label")).unionAll(edges.select(F.col("a").alias("v"), F.col("a").alias("label")).distinct())
 
 

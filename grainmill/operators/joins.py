@@ -13,19 +13,20 @@ FEW_KEYS = 100_000
 BITS_PER_KEY, MOST_BITS = 16, 1 << 28
 
 
-def join_unique(rows: DataFrame, unique: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, n_rows: int | None = None) -> DataFrame:
-    """Inner join with a side that has one row per key.
+def join_unique(rows: DataFrame, unique: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, n_rows: int | None = None, how: str = "inner") -> DataFrame:
+    """Inner or left join with a side that has one row per key.
 
     The at most (rows / hot_rows) hot keys are joined by broadcast, so their rows stay where they are. With ``n_rows`` of
     no more than ``hot_rows`` no key can be hot and none is looked for.
     """
     if n_rows is not None and n_rows <= hot_rows:
-        return rows.join(unique, on)
-    hot = [tuple(r) for r in rows.groupBy(*on).count().where(F.col("count") > hot_rows).select(*on).collect()]
+        return rows.join(unique, on, how)
+    hot = [tuple(r) for r in rows.dropna(subset=on).groupBy(*on).count().where(F.col("count") > hot_rows).select(*on).collect()]
     if not hot:
-        return rows.join(unique, on)
+        return rows.join(unique, on, how)
     keys = F.broadcast(rows.sparkSession.createDataFrame(hot, rows.select(*on).schema))
-    return rows.join(keys, on, "left_anti").join(unique, on).unionByName(rows.join(F.broadcast(unique.join(keys, on, "left_semi")), on))
+    hot_rows_ = rows.join(keys, on, "left_semi").join(F.broadcast(unique.join(keys, on, "left_semi")), on, how)
+    return rows.join(keys, on, "left_anti").join(unique, on, how).unionByName(hot_rows_)
 
 
 def _place(on: list[str], bits: int) -> Column:
