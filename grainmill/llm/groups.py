@@ -1,10 +1,11 @@
 """Pairwise matches consolidated into groups.
 
 Matches address documents by task and position; ``FileInfo.cumulative_start`` turns them into records by an equi-join
-on file and block of rows. The graph's giant component is peeled off by breadth-first joins from the vertex of the
-highest degree and anti-joined away, so that its hub never meets the loops that follow; the other components are
-labelled by minimum propagation in its large-star / small-star form, which needs a logarithmic number of rounds even
-for long chains.
+on file and block of rows. The graph's giant component is peeled off breadth-first from the vertex of the highest
+degree: the hub's neighbours are the frontier, a join puts the hub in their place in the edges that are left, and so
+they are gone from the table; the next frontier are the hub's neighbours in what is left. One job a layer, over fewer
+edges each time. After ``LAYERS`` of them what still hangs on the hub (a long chain) goes with the other components,
+which are labelled by minimum propagation in its large-star / small-star form, in a logarithmic number of rounds.
 
 Defined results: pairs with a null, self pairs and positions that no file holds link nothing; repeated, reversed or
 transitive pairs change nothing; records without a partner have no group; an empty table gives an empty result.
@@ -17,11 +18,13 @@ from pyspark.sql import functions as F
 
 from ..operators.components import both_ways, propagate_minimum
 from ..operators.joins import join_unique
-from ..session import materialize
+from ..session import materialize, write_step
 from .frames import named
 
 #: Rows of a file that are joined together; a file of more rows is spread over more keys.
 ROW_BLOCK = 100_000
+#: Layers of the giant component that are peeled off one by one.
+LAYERS = 4
 
 
 def addresses(files: DataFrame, docs: DataFrame) -> DataFrame:
@@ -41,37 +44,46 @@ def record_edges(pairs: DataFrame, files: DataFrame, docs: DataFrame) -> DataFra
     return met.select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b")).distinct()
 
 
-def peel_giant(edges: DataFrame) -> tuple[DataFrame | None, DataFrame]:
-    """The vertices ``v, label`` of the component of the highest-degree vertex, and the edges that are not in it."""
-    ways = materialize(both_ways(edges), "ways")
-    hub = ways.groupBy("src").count().orderBy(F.desc("count"), "src").limit(1).collect()
-    if not hub:
-        return None, edges
-    hub_id = hub[0].src
-    spark = edges.sparkSession
-    seen = spark.range(1).select(F.lit(hub_id).cast("bigint").alias("v"))
-    frontier = materialize(ways.where(F.col("src") == hub_id).select(F.col("dst").alias("v")).distinct(), "frontier")  # the hub's links need no join
-    layers = [seen]
-    while not frontier.isEmpty():
-        layers.append(frontier)
-        known = layers[-1] if len(layers) < 2 else layers[-2].unionAll(layers[-1])  # a neighbour lies in this layer, the one before or the next
-        reached = ways.join(frontier.withColumnRenamed("v", "src"), "src").select(F.col("dst").alias("v")).distinct()
-        frontier = materialize(reached.join(known, "v", "left_anti"), "frontier")
-    giant = layers[0]
-    for layer in layers[1:]:
-        giant = giant.unionAll(layer)
-    giant = materialize(giant, "giant")
-    least = giant.agg(F.min("v")).first()[0]
-    rest = edges.join(giant.withColumnRenamed("v", "a"), "a", "left_anti")
-    return giant.select("v", F.lit(least).cast("bigint").alias("label")), rest
+def _contract(edges: DataFrame, n: int, hub: int) -> DataFrame:
+    """The edges without the hub's, with the hub in the place of its neighbours; no self loops, no repeats."""
+    at_hub = (F.col("a") == hub) | (F.col("b") == hub)
+    frontier = _neighbours(edges, hub).withColumn("near", F.lit(True))
+    rest = edges.where(~at_hub)
+    for end in "ab":
+        rest = join_unique(rest, frontier.withColumnRenamed("v", end), [end], n_rows=n, how="left")
+        rest = rest.withColumn(end, F.when(F.col("near"), F.lit(hub).cast("bigint")).otherwise(F.col(end))).drop("near")
+    return rest.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _neighbours(edges: DataFrame, hub: int) -> DataFrame:
+    """``v``: the other ends of the hub's edges."""
+    return edges.where((F.col("a") == hub) | (F.col("b") == hub)).select(F.when(F.col("a") == hub, F.col("b")).otherwise(F.col("a")).alias("v"))
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``v, label``: the smallest vertex of the component of every vertex of the edges ``a, b`` (a < b)."""
-    edges = materialize(edges, "edges")
-    giant, rest = peel_giant(edges)
-    small = propagate_minimum(rest)
-    return small if giant is None else giant.unionByName(small)
+    """``v, label``: the smallest vertex of the component of every vertex of the distinct edges ``a, b`` (a < b)."""
+    edges, seen = write_step(edges, "edges", n=F.count("*"))
+    if not (n := seen["n"]):
+        return edges.select(F.col("a").alias("v"), F.col("b").alias("label"))
+    hub = both_ways(edges).groupBy("src").count().orderBy(F.desc("count"), "src").first().src
+    giant, left = edges.sparkSession.range(1).select(F.lit(hub).cast("bigint").alias("v")), 1
+    for _ in range(LAYERS):
+        giant = giant.unionAll(_neighbours(edges, hub))
+        edges, seen = write_step(_contract(edges, n, hub), "rest", n=F.count("*"), left=F.count_if((F.col("a") == hub) | (F.col("b") == hub)))
+        n, left = seen["n"], seen["left"]
+        if not left:
+            break
+    giant, seen = write_step(giant, "giant", least=F.min("v"))
+    least = seen["least"]
+    if left:  # the giant goes on as its smallest vertex so far
+        a, b = (F.when(F.col(x) == hub, F.lit(least).cast("bigint")).otherwise(F.col(x)) for x in "ab")
+        edges = edges.select(a.alias("a"), b.alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    small = propagate_minimum(edges)
+    if left:
+        small = materialize(small, "small")
+        found = small.where(F.col("v") == least).first()
+        least, small = found.label, small.where(F.col("v") != found.v)
+    return giant.select("v", F.lit(least).cast("bigint").alias("label")).unionByName(small)
 
 
 def groups_found(pairs: DataFrame, files: DataFrame, docs: DataFrame) -> DataFrame:

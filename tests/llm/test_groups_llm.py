@@ -74,3 +74,24 @@ def test_nothing_links(spark):
 def test_files_of_many_rows_are_joined_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(G, "ROW_BLOCK", 3)
     check(spark, [(0, 1, 1, 5), (0, 6, 0, 20), (1, 5, 0, 6)])
+
+
+def test_chains_that_hang_on_the_hub_end_in_few_jobs(spark, monkeypatch):
+    """Layers are peeled up to a bound; a chain of any length behind them goes with the minimum propagation."""
+    written = []
+    keep = G.write_step
+    monkeypatch.setattr(G, "write_step", lambda df, name="step", **m: written.append(name) or keep(df, name, **m))
+    n = 3000
+    edges = [(5, k) for k in range(10, 40)] + [(k, k + 1) for k in range(39, n)] + [(1, 12), (2, 3)]
+    got = {r.v: r.label for r in G.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {1: 1, 2: 2, 3: 2, 5: 1} | dict.fromkeys(range(10, n + 1), 1)
+    assert written.count("rest") == G.LAYERS
+
+
+def test_hot_neighbours_are_joined_apart(spark, monkeypatch):
+    from grainmill.operators import joins
+
+    monkeypatch.setattr(G, "join_unique", lambda *a, **k: joins.join_unique(*a, **{**k, "n_rows": None, "hot_rows": 3}))
+    edges = [(1, k) for k in range(2, 30)] + [(2, k) for k in range(40, 60)] + [(3, 70), (70, 71), (80, 81)]
+    got = {r.v: r.label for r in G.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == dict.fromkeys([*range(1, 30), *range(40, 60), 70, 71], 1) | {80: 80, 81: 80}
