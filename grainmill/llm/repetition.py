@@ -1,12 +1,14 @@
 """Repetition inside a text, measured by n-gram perplexity.
 
-A modified Kneser-Ney model over letter trigrams is counted by Spark over the whole corpus and kept as sorted
-arrays. Scoring a text interpolates a history order on top: after ``CONTEXT`` letters that already stood in the
-same text, the letters that followed them there are expected, with the absolute discount estimated from the
-corpus. Repeated content costs almost no bits, so the bits with history against the bits without it fall below
-the lower band where much of a text is repeated; bits without history above a language's upper band are letter
-salad. For every text the share of letters in runs of ``RUN`` or more that already stood earlier in the same text
-is counted exactly; that share alone decides what is found, and the lower band adds what repeats in shorter runs.
+Spark counts a modified Kneser-Ney model over letter trigrams for each language, over the whole corpus; it is kept as
+sorted arrays. Letters are hashed to ``SYMBOLS`` symbols (one to one within the alphabets at hand), so a language has at
+most SYMBOLS**3 trigrams, however large the corpus and whatever its scripts: nothing is pruned. Scoring a text
+interpolates a history order on top: after ``CONTEXT`` letters that already stood in the same text, the letters that
+followed them there are expected. Repeated content costs almost no bits, so where much of a text is repeated its
+perplexity falls below the lower band of its language. The bands come from the texts without repeated runs, so they
+don't move with the number of texts that repeat; perplexity without history above the upper band is letter salad. What
+lies in the lower band's reach is then checked exactly by the share of letters in runs of ``RUN`` or more that already
+stood earlier in the same text.
 
 Defined results: null texts and texts without letters have share 0 and no perplexity; a run is letters only, so
 blanks, case and punctuation don't hide a repetition; null languages are judged by their script.
@@ -15,6 +17,7 @@ blanks, case and punctuation don't hide a repetition; null languages are judged
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,20 +30,31 @@ from .letters import gram_hashes, gram_owner, letters, slices
 
 RUN, FOUND_SHARE = 30, 0.4
 CONTEXT = 11
-#: Trigrams the broadcast model may hold (16 bytes each); rarer ones are pruned and backed off from.
-MODEL_GRAMS = 2_000_000
+#: Bits of a symbol; a model has at most 2**(3 * BITS) trigrams of 16 bytes.
+_BITS = np.int64(7)
+SYMBOLS = 128
 MARGIN = 0.15
-#: Lower band: the part of its bits a text keeps if MARGIN less than FOUND_SHARE of it is repeated; all of them without
-#: repetition, whatever the other texts are.
+#: A text is low if its bits with history are at most this part of what they are without; a text without repeats keeps all.
 LOWER = 1 - FOUND_SHARE + MARGIN
+#: Texts are checked exactly from this part of the usual bits of their language on; a fourth of FOUND_SHARE is enough.
+REACH = 1 - FOUND_SHARE / 4
 UPPER_QUANTILE = 0.995
-_BITS = np.int64(21)
-_START = np.int64(1)  # stands before a text
+LANGS = ["it", "tr", "ar", "hi", "th", "und"]
+_START = np.int64(0)  # stands before a text
+
+
+@lru_cache(1)
+def symbol_table() -> np.ndarray:
+    """By code point its symbol: a to z, the ten digits, and 91 for all other letters in turn."""
+    table = (37 + np.arange(0x110000) % 91).astype(np.int64)
+    table[ord("a") : ord("z") + 1] = np.arange(1, 27)
+    table[ord("0") : ord("9") + 1] = np.arange(27, 37)
+    return table
 
 
 def trigrams(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Packed (two letters before, letter) of each place, the text's start standing for missing ones."""
-    c = codes.astype(np.int64)
+    c = symbol_table()[codes]
     one, two = np.full(len(c), _START), np.full(len(c), _START)
     one[1:], two[2:] = c[:-1], c[:-2]
     first = ends[:-1][np.diff(ends) > 0]
@@ -52,22 +66,41 @@ def trigrams(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return (two << 2 * _BITS) | (one << _BITS) | c
 
 
-def count_trigrams(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``gram, n`` over the whole corpus; every task adds up its own before the shuffle."""
+def count_trigrams(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``lang, gram, n`` over the whole corpus; every task adds up its own before the shuffle."""
+    size = SYMBOLS**3
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
             for start, end in slices(texts):
-                own, n = np.unique(trigrams(*letters(texts[start:end])), return_counts=True)
-                grams, counts = _add(np.concatenate([grams, own]), np.concatenate([counts, n]))
-            if len(grams) > MODEL_GRAMS:
-                yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(counts)], ["gram", "n"])
-                grams, counts = grams[:0], counts[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(counts)], ["gram", "n"])
+                codes, ends = letters(texts[start:end])
+                grams, of = trigrams(codes, ends), np.repeat(languages(langs[start:end], codes, ends), np.diff(ends))
+                for k in np.unique(of).tolist():
+                    totals[k] = totals.get(k, 0) + np.bincount(grams[of == k], minlength=size)
+        for k, total in totals.items():
+            some = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), k, np.int32)), pa.array(some), pa.array(total[some])], ["lang", "gram", "n"])
+
+    return spread(_texts(df, text_col, lang_col)).mapInArrow(run, "lang int, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+def _texts(df: DataFrame, text_col: str, lang_col: str, **more: str) -> DataFrame:
+    return df.select(*(F.col(f"`{c}`").alias(n) for n, c in more.items()), lang_code(F.col(f"`{lang_col}`")).alias("lang"), F.col(f"`{text_col}`").alias("text"))
 
-    return spread(named(df, text=text_col)).mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+
+#: First code point of a script's letters, its last, and the language that stands for it; fixed values.
+SCRIPTS = [(0x0600, 0x077F, "ar"), (0x0900, 0x097F, "hi"), (0x0E00, 0x0E7F, "th")]
+
+
+def languages(langs: list[str], codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Number in LANGS of each text: its script's, else what its code says if that is of the Latin script."""
+    out = np.array([LANGS.index(x) if x in ("it", "tr") else len(LANGS) - 1 for x in langs], np.int64)
+    n = np.maximum(np.diff(ends), 1)
+    for low, high, name in SCRIPTS:
+        out[_sums((codes >= low) & (codes <= high), ends) > 0.5 * n] = LANGS.index(name)
+    return out
 
 
 def _add(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,14 +167,11 @@ class KneserNey:
         return p[where]
 
 
-def fit(df: DataFrame, text_col: str = "text") -> KneserNey:
-    """Counts the corpus and keeps the most frequent MODEL_GRAMS trigrams; ties at the limit are pruned together."""
-    counts = materialize(count_trigrams(df, text_col), "trigrams")
-    least = 1
-    if counts.count() > MODEL_GRAMS:
-        least = counts.orderBy(F.desc("n")).offset(MODEL_GRAMS).limit(1).collect()[0].n + 1
-    kept = counts.where(F.col("n") >= least).toArrow()
-    return KneserNey(kept.column("gram").to_numpy(), kept.column("n").to_numpy())
+def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[KneserNey]:
+    """A model for each of LANGS from all trigrams of the corpus."""
+    rows = count_trigrams(df, text_col, lang_col).toArrow()
+    of, grams, n = (rows.column(c).to_numpy() for c in ("lang", "gram", "n"))
+    return [KneserNey(grams[of == k], n[of == k]) for k in range(len(LANGS))]
 
 
 def _ranks(key: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -212,46 +242,50 @@ def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return total[ends[1:]] - total[ends[:-1]]
 
 
-#: First code point of a script's letters, its last, and the language that stands for it; fixed values.
-SCRIPTS = [(0x0600, 0x077F, "ar"), (0x0900, 0x097F, "hi"), (0x0E00, 0x0E7F, "th")]
-
-
-def scores(df: DataFrame, model: KneserNey, id_col: str = "rec_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def scores(df: DataFrame, models: list[KneserNey], id_col: str = "rec_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``rec_id, band_lang, n_letters, base_bits, bits, repeated``: bits per letter without and with history."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(models)
 
     def work(rest: dict, texts: list) -> dict:
         codes, ends = letters(texts)
         n = np.diff(ends)
-        base = shared.value.log2p(trigrams(codes, ends))
+        lang = languages(rest["lang"].to_pylist(), codes, ends)
+        of, grams, base = np.repeat(lang, n), trigrams(codes, ends), np.zeros(len(codes))
+        for k in np.unique(of).tolist():
+            base[of == k] = shared.value[k].log2p(grams[of == k])
         full = history_share(codes, ends, base)
-        lang = np.array(rest["lang"].to_pylist(), object)
-        lang[~np.isin(lang, ["it", "tr"])] = "und"
-        for low, high, name in SCRIPTS:
-            lang[_sums((codes >= low) & (codes <= high), ends) > 0.5 * np.maximum(n, 1)] = name
-        some = np.maximum(n, 1)
-        none = n == 0
-        return {"rec_id": rest["rec_id"], "band_lang": pa.array(lang.tolist(), pa.string()), "n_letters": pa.array(n), "base_bits": pa.array(-_sums(base, ends) / some, mask=none), "bits": pa.array(-_sums(full, ends) / some, mask=none), "repeated": pa.array(repeated_letters(codes, ends))}
+        some, none = np.maximum(n, 1), n == 0
+        names = pa.array([LANGS[k] for k in lang.tolist()], pa.string())
+        return {"rec_id": rest["rec_id"], "band_lang": names, "n_letters": pa.array(n), "base_bits": pa.array(-_sums(base, ends) / some, mask=none), "bits": pa.array(-_sums(full, ends) / some, mask=none), "repeated": pa.array(repeated_letters(codes, ends))}
 
-    texts = df.select(F.col(f"`{id_col}`").alias("rec_id"), lang_code(F.col(f"`{lang_col}`")).alias("lang"), F.col(f"`{text_col}`").alias("text"))
-    return map_texts(texts, work, "rec_id bigint, band_lang string, n_letters bigint, base_bits double, bits double, repeated bigint")
+    return map_texts(_texts(df, text_col, lang_col, rec_id=id_col), work, "rec_id bigint, band_lang string, n_letters bigint, base_bits double, bits double, repeated bigint")
 
 
 def bands(scored: DataFrame) -> DataFrame:
-    """``band_lang, upper``: of a text's bits without history."""
-    return scored.where("n_letters >= 30").groupBy("band_lang").agg(F.percentile_approx("base_bits", UPPER_QUANTILE).alias("upper"))
+    """``band_lang, upper, usual_kept, usual_bits``: the upper band of the bits without history, and the medians of the
+    texts without repeated runs: the part of their bits that history leaves, and the bits with history."""
+    kept = F.try_divide("bits", "base_bits")
+    once = lambda c: F.percentile_approx(F.when(F.col("repeated") == 0, c), 0.5)
+    return scored.where("n_letters >= 30").groupBy("band_lang").agg(F.percentile_approx("base_bits", UPPER_QUANTILE).alias("upper"), once(kept).alias("usual_kept"), once(F.col("bits")).alias("usual_bits"))
+
+
+def judged(df: DataFrame, id_col: str = "rec_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The scores of every row with ``share`` (repeated letters), ``verdict`` and ``reached`` (by the lower band)."""
+    scored = materialize(scores(df, fit(df, text_col, lang_col), id_col, text_col, lang_col), "scores")
+    met = scored.join(F.broadcast(bands(scored)), "band_lang", "left")  # six languages at most
+    share = F.when(F.col("n_letters") > 0, F.col("repeated") / F.col("n_letters")).otherwise(0.0)
+    kept = F.coalesce(F.try_divide("bits", "base_bits"), F.lit(0.0))
+    usual = F.coalesce("usual_kept", F.lit(1.0))
+    verdict = F.when(kept <= LOWER * usual, "low").when(F.col("base_bits") > F.col("upper"), "high").otherwise("keep")
+    reached = (kept <= F.greatest(F.lit(LOWER), REACH * usual)) | F.coalesce(F.col("bits") <= REACH * F.col("usual_bits"), F.lit(False))
+    return met.withColumns({"share": share, "verdict": F.when(F.col("n_letters") > 0, verdict).otherwise("keep"), "reached": reached & (F.col("n_letters") > 0)})
 
 
 def repetition(df: DataFrame, id_col: str = "rec_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``rec_id, perplexity, base_perplexity, repeated_share, verdict`` of every row; verdict is keep, low or high."""
-    scored = materialize(scores(df, fit(df, text_col), id_col, text_col, lang_col), "scores")
-    with_bands = scored.join(F.broadcast(bands(scored)), "band_lang", "left")  # six languages at most
-    share = F.when(F.col("n_letters") > 0, F.col("repeated") / F.col("n_letters")).otherwise(0.0)
-    low = (share >= FOUND_SHARE) | (F.col("bits") / F.col("base_bits") <= LOWER)
-    verdict = F.when(low, "low").when(F.col("base_bits") > F.col("upper"), "high").otherwise("keep")
-    return with_bands.select("rec_id", F.pow(F.lit(2.0), "bits").alias("perplexity"), F.pow(F.lit(2.0), "base_bits").alias("base_perplexity"), share.alias("repeated_share"), verdict.alias("verdict"))
+    return judged(df, id_col, text_col, lang_col).select("rec_id", F.pow(F.lit(2.0), "bits").alias("perplexity"), F.pow(F.lit(2.0), "base_bits").alias("base_perplexity"), F.col("share").alias("repeated_share"), "verdict")
 
 
 def repetition_found(df: DataFrame, id_col: str = "rec_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Records of which at least FOUND_SHARE is repeated."""
-    return repetition(df, id_col, text_col, lang_col).where(F.col("repeated_share") >= FOUND_SHARE).select("rec_id").distinct()
+    """Records in the lower band's reach of which, checked exactly, at least FOUND_SHARE is repeated."""
+    return judged(df, id_col, text_col, lang_col).where(F.col("reached") & (F.col("share") >= FOUND_SHARE)).select("rec_id").distinct()

@@ -77,9 +77,11 @@ def test_model_is_a_distribution():
     codes, ends = letters(["abracadabra abba", "cabab", "bac"])
     grams, counts = np.unique(R.trigrams(codes, ends), return_counts=True)
     m = R.KneserNey(grams, counts)
-    letters_seen = sorted(set(codes.tolist()))
-    for a, b in [(97, 98), (98, 114), (1, 1), (122, 122)]:
-        packed = np.array([(a << 42) | (b << 21) | c for c in letters_seen], np.int64)
+    symbols = R.symbol_table()
+    seen = sorted({int(symbols[c]) for c in codes.tolist()})
+    for x, y in ["ab", "br", "zz", "  "]:
+        a, b = (0, 0) if x == " " else (int(symbols[ord(x)]), int(symbols[ord(y)]))
+        packed = np.array([(a << 14) | (b << 7) | c for c in seen], np.int64)
         total = float(np.exp2(m.log2p(packed)).sum())
         assert 0.9 < total <= 1.0 + 1e-9
 
@@ -102,9 +104,40 @@ def test_history_makes_repeats_cheap():
     assert second < 0.62 * first
 
 
-def test_pruned_model_backs_off(spark, monkeypatch):
-    monkeypatch.setattr(R, "MODEL_GRAMS", 50)
-    m = R.fit(table(spark, [(i, t, "it") for i, t in enumerate(texts()[:20])]))
-    assert 0 < len(m.tri) <= 50
-    codes, ends = letters(["mai vista"])
-    assert np.isfinite(m.log2p(R.trigrams(codes, ends))).all()
+def test_symbols_keep_the_letters_of_an_alphabet_apart():
+    table = R.symbol_table()
+    assert 0 < table.min() and table.max() < R.SYMBOLS
+    for letters_of in ("abcdefghijklmnopqrstuvwxyz0123456789çğöşüàèéìòù", "".join(map(chr, range(0x0E01, 0x0E4F))), "".join(map(chr, range(0x0905, 0x094E))), "".join(map(chr, range(0x0621, 0x0653)))):
+        assert len({int(table[ord(c)]) for c in letters_of}) == len(letters_of)
+
+
+def test_millions_of_letter_trigrams(spark):
+    """A large alphabet has more trigrams than any table of them could hold; nothing is pruned and the rows are the same."""
+    draw = np.random.default_rng(3)
+    plain = ["".join(map(chr, draw.integers(0x4E00, 0x9FA5, 4000).tolist())) for _ in range(550)]
+    twice = ["".join(map(chr, draw.integers(0x4E00, 0x9FA5, 60).tolist())) * 2 for _ in range(10)]
+    codes, _ = letters(plain)
+    wide = codes.astype(np.int64)
+    assert len(np.unique(wide[:-2] << 42 | wide[1:-1] << 21 | wide[2:])) > 2_000_000
+    df = table(spark, [(i, t, "zh") for i, t in enumerate(plain + twice)])
+    assert {r.rec_id for r in R.repetition_found(df).collect()} == set(range(550, 560))
+    model = R.fit(df)[R.LANGS.index("und")]
+    assert 500_000 < len(model.tri) <= R.SYMBOLS**3
+
+
+def test_a_predictable_half_beside_a_random_one(spark):
+    """A run of one letter costs few bits even without history; the text is still reached."""
+    draw = random.Random(4)
+    runs = [words(draw, 20) + " " + "a" * 120 for _ in range(60)]
+    plain = [words(draw, 60) for _ in range(60)]
+    rows = [(i, t, "it") for i, t in enumerate(runs + plain)]
+    want = {i for i, t, _ in rows if brute_share(t) >= R.FOUND_SHARE}
+    assert len(want) > 50
+    assert {r.rec_id for r in R.repetition_found(table(spark, rows)).collect()} == want
+
+
+def test_languages_have_models_of_their_own(spark):
+    draw = random.Random(8)
+    rows = [(i, words(draw, 30), ("it", "tr")[i % 2]) for i in range(10)] + [(20, "में है और " * 9, "it")]
+    models = R.fit(table(spark, rows))
+    assert [len(m.tri) > 0 for m in models] == [True, True, False, True, False, False]
