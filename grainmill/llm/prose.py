@@ -2,9 +2,10 @@
 
 The statistics of all texts are written once; a Gaussian mixture is fitted to their standardized values by
 expectation-maximization, every iteration one pass in which the tasks send their sufficient statistics (a few
-kilobytes each). The components start at inspected examples and get the class of the examples they answer for.
-Texts that the mixture may call a list, a table or junk are then checked exactly: less than ``PROSE_LEAST`` of what
-they don't repeat stands among common words, as sentences do.
+kilobytes each). The components start at inspected examples and get the class of the examples they answer for; a text
+is what the mixture finds most probable. One exact check follows: a text that for the most part (``MOST``) stands among
+common words is running text all the same. The common words of five languages are listed; those of any other language are learned from
+the texts of the corpus that carry its code.
 
 Defined results: null, blank and sign-only texts of up to three characters have class none; repeated rows give one
 result each (one in the listing); ties between components go to the first; other columns are ignored.
@@ -21,23 +22,47 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .examples import EXAMPLES
-from .frames import map_texts, named
+from .frames import lang_code, map_texts, named
 from .stats import NAMES, Parsed, statistics
 
-PROSE_LEAST = 0.4
-#: A text is checked if the mixture gives its being no prose at least this probability.
-DOUBT = 0.01
+MOST = 0.5
+#: A word is common in a language if it is at least this share of its words (so there are at most 500 of them) ...
+LEAST_WORDS = 0.002
+#: ... and stands in at least this share of its texts; languages of fewer texts than this have none.
+LEAST_TEXTS, FEW_TEXTS = 0.1, 20
 ROUNDS, SETTLED, RIDGE = 30, 1e-4, 0.02
 CLASSES = ["prose", "list", "table", "junk"]
 _STATS = ", ".join(f"{n} double" for n in NAMES)
-_PROSE = NAMES.index("prose_share")
 
 
-def text_statistics(df: DataFrame, id_col: str = "rec_id", text_col: str = "text") -> DataFrame:
+def learned_words(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> np.ndarray:
+    """Hashes of the common words of all languages but the listed ones. Only the texts of those languages are read."""
+    if lang_col not in df.columns:
+        return np.zeros(0, np.uint64)
+    code = F.regexp_extract(F.lower(F.trim(F.col(f"`{lang_col}`"))), "^([a-z]+)", 1)
+    rows = df.where((lang_code(F.col(f"`{lang_col}`")) == "und") & ~code.isin("", "und")).select(code.alias("lang"), F.col(f"`{text_col}`").alias("text"))
+
+    def work(rest: dict, texts: list) -> dict:
+        p, langs = Parsed(texts), rest["lang"].to_pylist()
+        plain = (p.word_end - p.word_start > 1) | (p.raw[p.word_start] >= 0x80) if len(p.word_start) else np.zeros(0, bool)
+        pairs, n = np.unique(np.stack([p.word_text[plain].astype(np.uint64), p.word_hash[plain]]), axis=1, return_counts=True)
+        every = np.arange(p.n, dtype=np.uint64)  # a row of each text for its own count, under no word
+        of = np.concatenate([pairs[0], every]).astype(np.int64)
+        hashes = pa.array(np.concatenate([pairs[1], every]).view(np.int64), mask=np.r_[np.zeros(len(n), bool), np.ones(p.n, bool)])
+        return {"lang": pa.array([langs[i] for i in of.tolist()], pa.string()), "h": hashes, "n": pa.array(np.concatenate([n, p.count(p.word_text[plain])]).astype(np.int64))}
+
+    sums = materialize(map_texts(rows, work, "lang string, h bigint, n bigint").groupBy("lang", "h").agg(F.sum("n").alias("n"), F.count("*").alias("texts")), "lang-words")
+    every = sums.where("h is null").select("lang", F.col("n").alias("all_words"), F.col("texts").alias("all_texts"))
+    common = sums.where("h is not null").join(F.broadcast(every), "lang").where((F.col("n") >= LEAST_WORDS * F.col("all_words")) & (F.col("texts") >= LEAST_TEXTS * F.col("all_texts")) & (F.col("all_texts") >= FEW_TEXTS))
+    return np.unique(common.select("h").toArrow().column("h").to_numpy().astype(np.int64).view(np.uint64))
+
+
+def text_statistics(df: DataFrame, id_col: str = "rec_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The id, ``filled`` (more than three characters, or a letter or digit) and the NAMES statistics."""
+    more = learned_words(df, text_col, lang_col)
 
     def work(rest: dict, texts: list) -> dict:
-        p = Parsed(texts)
+        p = Parsed(texts, more)
         made = statistics(p)
         letters = p.per_text((p.kind == 1) | (p.kind == 2))
         solid = p.per_text(p.kind != 0)
@@ -46,7 +71,7 @@ def text_statistics(df: DataFrame, id_col: str = "rec_id", text_col: str = "text
     return map_texts(named(df, rec_id=id_col, text=text_col), work, f"rec_id bigint, filled boolean, {_STATS}")
 
 
-def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+def matrix(batch: pa.RecordBatch) -> np.ndarray:
     return np.stack([batch.column(n).to_numpy() for n in NAMES], axis=1)
 
 
@@ -87,7 +112,7 @@ def _gather(table: DataFrame, work) -> list[np.ndarray]:
         total = None
         for batch in batches:
             if batch.num_rows:
-                own = work(_matrix(batch))
+                own = work(matrix(batch))
                 total = own if total is None else [a + b for a, b in zip(total, own)]
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([pos], pa.int32()) if name == "pos" else pa.array([value.ravel().tolist()], pa.list_(pa.float64())) for pos, value in [(0, np.concatenate([np.ravel(t) for t in total]))] for name in ("pos", "sums")], ["pos", "sums"])
@@ -108,7 +133,7 @@ def fit(table: DataFrame) -> Mixture | None:
     seeds = statistics(Parsed([t for _, t in EXAMPLES]))
     model = Mixture(mean, scale, (seeds - mean) / scale)
     k, last = len(seeds), -np.inf
-    for _ in range(ROUNDS):
+    for _ in range(ROUNDS):  # the likelihood settles or the rounds end; either way every text has been in every round
         shared = table.sparkSession.sparkContext.broadcast(model)
 
         def step(x: np.ndarray, shared=shared) -> list[np.ndarray]:
@@ -144,16 +169,16 @@ def _name(model: Mixture, seeds: np.ndarray) -> None:
         model.classes[k] = votes.argmax() if votes.max() > 0.3 else kinds[((z - model.means[k]) ** 2).sum(axis=1).argmin()]
 
 
-def classify(df: DataFrame, id_col: str = "rec_id", text_col: str = "text") -> DataFrame:
+def classify(df: DataFrame, id_col: str = "rec_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The statistics of every row with ``class`` and ``not_prose``, the probability of being no prose."""
-    table = materialize(text_statistics(df, id_col, text_col), "statistics")
+    table = materialize(text_statistics(df, id_col, text_col, lang_col), "statistics")
     model = fit(table)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             filled = batch.column("filled").to_numpy(zero_copy_only=False)
-            p = shared.value.by_class(_matrix(batch)) if shared.value is not None else np.zeros((batch.num_rows, len(CLASSES)))
+            p = shared.value.by_class(matrix(batch)) if shared.value is not None else np.zeros((batch.num_rows, len(CLASSES)))
             names = [CLASSES[c] if f else "none" for c, f in zip(p.argmax(axis=1).tolist(), filled.tolist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(np.where(filled, 1 - p[:, 0], 0.0))], [*batch.schema.names, "class", "not_prose"])
 
@@ -162,4 +187,4 @@ def classify(df: DataFrame, id_col: str = "rec_id", text_col: str = "text") -> D
 
 def not_prose_found(df: DataFrame, id_col: str = "rec_id", text_col: str = "text") -> DataFrame:
     """``rec_id`` of the records that are for the most part no running sentences."""
-    return classify(df, id_col, text_col).where(F.col("filled") & (F.col("not_prose") >= DOUBT) & (F.col("prose_share") < PROSE_LEAST)).where("rec_id is not null").select("rec_id").distinct()
+    return classify(df, id_col, text_col).where(~F.col("class").isin("prose", "none") & (F.col("prose_share") < MOST)).where("rec_id is not null").select("rec_id").distinct()

@@ -3,11 +3,16 @@
 Features: lexical diversity, rarity of the words in the corpus, connectives, a proxy of clause depth (commas and
 connectives a sentence) and lengths of words and sentences, over the whole text and as the least of its parts, so
 that a text is demanding only if it is so throughout. They are standardized within each language over all texts. The
-rarity of a word comes from a count sketch of the whole corpus with a fixed number of cells.
+rarity of a word are the bits of its share of all words of the corpus, RARE_BITS at most: words are counted exactly, and
+since shares add up to one, no more than 2**RARE_BITS words are more frequent than that, however large the corpus. The
+table of those is broadcast, all other words are as rare as can be.
 
 The regression (proportional odds, L2) is fitted to at most MAX_LABELLED labelled texts, the ones with the smallest
 hash of their id; all texts are scored. A text's grade is the mean of its annotators' distinct rows, rounded half up.
 
+A text is prose if at least PROSE_LEAST of what it doesn't repeat stands among common words of any language, listed or
+learned. (The mixture of ``prose`` fitted to the documents, where lists are few, calls some tables prose.)
+
 Defined results: texts that are no prose, mis-decoded, empty or null have no level (null); null grades are ignored;
 without labels no text has a level; repeated rows give one result each; other columns are ignored.
 """
@@ -21,13 +26,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, spread
+from ..session import materialize, spread, write_step
 from .frames import lang_code, map_texts, named
 from .letters import slices
-from .prose import PROSE_LEAST
-from .stats import COMMA, DIGIT, END, NAMES, SIGN, THAI, WORD, Parsed, _part, among, common_hashes, connective_hashes, run_hashes, statistics
-
-CELLS = 1 << 20
+from .prose import learned_words
+from .stats import COMMA, DIGIT, END, NAMES, SIGN, THAI, WORD, Parsed, _part, among, connective_hashes, run_hashes, statistics
+
+#: The rarity of all words no more frequent than one in 2**RARE_BITS; the table has 16 bytes for each of the others.
+RARE_BITS = 20
+#: Words a task counts before it sends them on.
+HELD_WORDS = 2_000_000
+PROSE_LEAST = 0.4
 MAX_LABELLED = 20_000
 PARTS = 3
 PENALTY = 1.0
@@ -48,7 +57,7 @@ class Words:
         self.start, self.end, self.text = start, end, p.owner(start)
         self.hash = run_hashes(p.low, start, end)
         self.thai = thai[start]
-        self.common = np.where(self.thai, known[start], among(self.hash, common_hashes()))
+        self.common = np.where(self.thai, known[start], among(self.hash, p.known))
         stop = p.kind == END
         after = np.r_[(p.kind[1:] != WORD) & (p.kind[1:] != DIGIT), True][: len(p.raw)] if len(p.raw) else stop
         blank = np.zeros(len(p.raw), bool)
@@ -91,7 +100,22 @@ def _per_sentence(w: Words, sentence: np.ndarray, group: np.ndarray, groups: int
     return _part(np.bincount(group, weights=size, minlength=groups), np.bincount(group, minlength=groups))
 
 
-def features(p: Parsed, sketch: np.ndarray | None) -> np.ndarray:
+class Frequent:
+    """The words that are more frequent than one in 2**RARE_BITS, sorted by hash, with their rarity in bits."""
+
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, total: int) -> None:
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        self.bits = np.log2(max(1, total) / counts[order]).astype(np.float32)
+
+    def rarity(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.full(len(hashes), float(RARE_BITS))
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.bits[at], RARE_BITS)
+
+
+def features(p: Parsed, frequent: Frequent | None) -> np.ndarray:
     """One row of FEATURES per text."""
     w = Words(p)
     count = p.count(w.text)
@@ -102,9 +126,7 @@ def features(p: Parsed, sketch: np.ndarray | None) -> np.ndarray:
     part = w.text * PARTS + w.part
     part_word = _part(np.bincount(part, weights=size * content, minlength=p.n * PARTS), np.bincount(part, weights=content, minlength=p.n * PARTS)).reshape(p.n, PARTS)
     part_sentence = _per_sentence(w, w.sentence, part, p.n * PARTS).reshape(p.n, PARTS)
-    rare = np.zeros(len(w.hash))
-    if sketch is not None and len(w.hash):
-        rare = np.log2(max(1.0, float(sketch.sum())) / np.maximum(sketch[(w.hash & np.uint64(CELLS - 1)).astype(np.int64)], 1))
+    rare = frequent.rarity(w.hash) if frequent is not None else np.zeros(len(w.hash))
     kinds = np.bincount(w.text[_first_of(w)], minlength=p.n) if len(w.hash) else np.zeros(p.n)
     contents = p.count(w.text, content.astype(float))
     return np.stack([
@@ -128,22 +150,30 @@ def _first_of(w: Words) -> np.ndarray:
     return order[np.r_[True, (h[1:] != h[:-1]) | (t[1:] != t[:-1])]]
 
 
-def word_sketch(df: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Occurrences of the words of the whole corpus by cell; each task sends one row per cell it met."""
+def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``h, n``: how often each word (its 64-bit hash) stands in the corpus; every task adds up its own first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CELLS, np.int64)
+        hashes, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for a, b in slices(texts):
-                total += np.bincount((Words(Parsed(texts[a:b])).hash & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS)
-        cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
+                own, n = np.unique(Words(Parsed(texts[a:b])).hash, return_counts=True)
+                hashes, where = np.unique(np.concatenate([hashes, own]), return_inverse=True)
+                counts = np.bincount(where, weights=np.concatenate([counts, n]), minlength=len(hashes)).astype(np.int64)
+                if len(hashes) > HELD_WORDS:
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], ["h", "n"])
+                    hashes, counts = hashes[:0], counts[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], ["h", "n"])
+
+    return spread(named(df, text=text_col)).mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+
 
-    rows = spread(named(df, text=text_col)).mapInArrow(run, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(CELLS, np.int64)
-    out[rows.column("cell").to_numpy()] = rows.column("n").to_numpy()
-    return out
+def frequent_words(df: DataFrame, text_col: str = "text") -> Frequent:
+    """Counts all words of the corpus; only those above the share of RARE_BITS come to the driver."""
+    counts, seen = write_step(word_counts(df, text_col), "words", total=F.coalesce(F.sum("n"), F.lit(0)))
+    rows = counts.where(F.col("n") * F.lit(1 << RARE_BITS) > F.lit(int(seen["total"]))).toArrow()
+    return Frequent(rows.column("h").to_numpy().view(np.uint64), rows.column("n").to_numpy(), int(seen["total"]))
 
 
 #: Leading characters of UTF-8 read as a one-byte code, and what follows them; fixed values.
@@ -163,10 +193,11 @@ def misdecoded(p: Parsed) -> np.ndarray:
 
 def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``doc_id, level_lang, prose`` and the FEATURES of every row."""
-    shared = df.sparkSession.sparkContext.broadcast(word_sketch(df, text_col).astype(np.float32))
+    more = learned_words(df, text_col, lang_col)
+    shared = df.sparkSession.sparkContext.broadcast(frequent_words(df, text_col))
 
     def work(rest: dict, texts: list) -> dict:
-        p = Parsed(texts)
+        p = Parsed(texts, more)
         made = features(p, shared.value)
         stats = statistics(p)
         prose = (stats[:, NAMES.index("prose_share")] >= PROSE_LEAST) & (stats[:, NAMES.index("common_share")] > 0) & (misdecoded(p) == 0)

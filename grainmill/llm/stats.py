@@ -77,9 +77,10 @@ def among(wanted: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 
 class Parsed:
-    """Words, tokens, lines and classes of the texts in a row."""
+    """Words, tokens, lines and classes of the texts in a row. ``more``: hashes of common words besides the listed ones."""
 
-    def __init__(self, texts: list[str | None]) -> None:
+    def __init__(self, texts: list[str | None], more: np.ndarray | None = None) -> None:
+        self.known = common_hashes() if more is None or not len(more) else np.union1d(common_hashes(), more)
         raw, self.ends = codepoints([composed(t) for t in texts])
         self.n, self.raw = len(texts), raw
         self.kind = kinds()[raw]
@@ -125,7 +126,7 @@ class Parsed:
             return np.zeros(0, bool)
         token = np.searchsorted(self.token_start, self.word_start, side="right") - 1
         quoted = np.isin(self.raw[np.maximum(self.word_start - 1, 0)], [0x27, 0x2019]) & (self.word_start > self.ends[self.word_text])
-        return among(self.word_hash, common_hashes()) & ~odd[token] & ~quoted  # "ve" after an apostrophe is no word
+        return among(self.word_hash, self.known) & ~odd[token] & ~quoted  # "ve" after an apostrophe is no word
 
     def prosy(self, common: np.ndarray, thai: np.ndarray) -> np.ndarray:
         """Which solid code points have common words around them, as every sentence does."""

@@ -95,3 +95,23 @@ def test_thai_runs_are_cut_at_common_words():
 def test_misdecoded():
     texts = ["perchÃ© no", "perché no", "à¤¬à¥€", "è vero", "â€œciaoâ€", "ÅŸ", "C'È poco", ""]
     assert (R.misdecoded(Parsed(texts)) > 0).tolist() == [True, False, True, False, True, True, False, False]
+
+
+def test_rarity_from_exact_counts(spark, monkeypatch):
+    """Words below the share of RARE_BITS are as rare as can be, all others have their own bits; the table is bounded."""
+    monkeypatch.setattr(R, "RARE_BITS", 4)
+    monkeypatch.setattr(R, "HELD_WORDS", 50)
+    draw = random.Random(3)
+    many = ["".join(draw.choice("abcdefgilmnoprstuv") for _ in range(9)) for _ in range(3000)]
+    texts_ = ["treno casa casa " + " ".join(many[i : i + 6]) for i in range(0, 3000, 6)]
+    frequent = R.frequent_words(spark.createDataFrame([(t,) for t in texts_], "text string"))
+    assert len(frequent.hashes) == 2 <= 2**4
+    w = R.Words(Parsed(["treno casa " + many[0] + " mai"]))
+    total = 500 * 9
+    assert frequent.rarity(w.hash).tolist() == pytest.approx([np.log2(total / 500), np.log2(total / 1000), 4, 4], rel=1e-5)
+
+
+def test_counts_add_up_over_batches(spark, monkeypatch):
+    monkeypatch.setattr(R, "HELD_WORDS", 1)
+    df = spark.createDataFrame([(f"uno due parola{'x' * (i % 5)}",) for i in range(200)], "text string").repartition(7)
+    assert sorted(r.n for r in R.word_counts(df).collect()) == [40] * 5 + [200, 200]
