@@ -28,6 +28,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_found": lambda s, d: prose.not_prose_found(table(s, d, "standard_docs")),
         "p5_classes": lambda s, d: prose.classify(table(s, d, "standard_docs")),
         "p7_found": lambda s, d: near.near_found(table(s, d, "standard_docs")),
+        "p7_pairs": lambda s, d: near.near_pairs(table(s, d, "standard_docs")),
+        "p7_members": lambda s, d: near.near_members(table(s, d, "standard_docs")),
         "p3_found": lambda s, d: repetition.repetition_found(table(s, d, "standard_docs")),
         "p3_repetition": lambda s, d: repetition.repetition(table(s, d, "standard_docs")),
         "p8_ids": lambda s, d: encode.encode(table(s, d, "documents")),

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..operators.joins import join_unique
+from ..session import materialize, write_step
 from .fields import fields_of
 from .frames import fixed_binary, map_texts, named
 from .letters import letters
@@ -142,18 +143,18 @@ def _count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def radix_count(rows: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``key, copies, keep_id`` of rows ``key, keep_id`` with a non-null key of ``KEY_BYTES`` bytes.
 
-    Buckets are key prefixes: those of one byte that hold too many rows are split by the second byte, and so
-    on. Only the oversized prefixes, at most (rows / bucket_rows) a level, come to the driver.
+    Buckets are key prefixes: those of one byte that hold too many rows are split by the second byte, and so on. The
+    oversized prefixes of a level, at most (rows / bucket_rows), are a table that is joined by broadcast.
     """
     combined = materialize(rows.where("key is not null").selectExpr("key", "1L as copies", "coalesce(keep_id, 9223372036854775807L) as keep_id").mapInArrow(_combine, _COUNTED), "radix")
-    bucket, inside = F.substring("key", 1, 1), combined
+    cut = combined.withColumn("bucket", F.substring("key", 1, 1))
     for depth in range(1, KEY_BYTES):
-        large = [r[0] for r in inside.groupBy(F.substring("key", 1, depth).alias("p")).count().where(F.col("count") > bucket_rows).collect()]
-        if not large:
+        of_depth = cut.where(F.length("bucket") == depth)
+        large, seen = write_step(of_depth.groupBy("bucket").count().where(F.col("count") > bucket_rows).select("bucket", F.lit(True).alias("large")), "large", n=F.count("*"))
+        if not seen["n"]:
             break
-        split = F.substring("key", 1, depth).isin([F.lit(bytes(p)) for p in large])
-        bucket, inside = F.when(split, F.substring("key", 1, depth + 1)).otherwise(bucket), inside.where(split)
-    spread = combined.withColumn("bucket", bucket).repartition("bucket").sortWithinPartitions("bucket")
+        cut = cut.join(F.broadcast(large), "bucket", "left").withColumn("bucket", F.when(F.col("large"), F.substring("key", 1, depth + 1)).otherwise(F.col("bucket"))).drop("large")
+    spread = cut.select("key", "copies", "keep_id", "bucket").repartition("bucket").sortWithinPartitions("bucket")
     return spread.mapInArrow(_count_buckets, _COUNTED)
 
 
@@ -164,21 +165,21 @@ def join_hot(rows: DataFrame, groups: DataFrame, on: str, copies: str = "copies"
 
 
 def same_records(df: DataFrame, id_col: str = "rec_id", text_col: str = "text", keys: DataFrame | None = None) -> DataFrame:
-    """``letters_key, keep_id, copies`` for every letter class: its set's smallest id and its own copies."""
+    """``letters_key, head, keep_id, copies`` for every letter class: its own and its set's smallest id, its own copies."""
     keys = materialize(canonical_keys(df, id_col, text_col), "keys") if keys is None else keys
     classes = materialize(radix_count(keys.selectExpr("letters_key as key", "rec_id as keep_id")), "classes").withColumnRenamed("key", "letters_key")
     links = keys.where("letters_key is not null and fields_key is not null").select("letters_key", "fields_key").distinct()
     links = materialize(links.join(classes.select("letters_key", F.col("keep_id").alias("label")), "letters_key"), "links")
     while True:  # a second round is needed only where one letter string can be read as several field sets
-        sets = radix_count(links.selectExpr("fields_key as key", "label as keep_id")).select(F.col("key").alias("fields_key"), F.col("keep_id").alias("set_label"))
-        moved = links.join(sets, "fields_key").groupBy("letters_key").agg(F.min("set_label").alias("new_label"))
+        sets = materialize(radix_count(links.selectExpr("fields_key as key", "label as keep_id")).select(F.col("key").alias("fields_key"), F.col("keep_id").alias("set_label")), "sets")
+        moved = join_unique(links, sets, ["fields_key"]).groupBy("letters_key").agg(F.min("set_label").alias("new_label"))
         moved = materialize(links.join(moved, "letters_key").select("letters_key", "fields_key", "label", "new_label"), "labels")
         links = moved.select("letters_key", "fields_key", F.col("new_label").alias("label"))
         several = moved.groupBy("letters_key").agg(F.countDistinct("fields_key").alias("n")).where("n > 1").select("letters_key")
         if moved.where("new_label < label").join(several, "letters_key", "left_semi").isEmpty():
             break
     labels = links.groupBy("letters_key").agg(F.min("label").alias("label"))
-    return classes.join(labels, "letters_key", "left").select("letters_key", F.coalesce("label", "keep_id").alias("keep_id"), "copies")
+    return classes.join(labels, "letters_key", "left").select("letters_key", F.col("keep_id").alias("head"), F.coalesce("label", "keep_id").alias("keep_id"), "copies")
 
 
 def collapse_copies(df: DataFrame, id_col: str = "rec_id", text_col: str = "text") -> DataFrame:

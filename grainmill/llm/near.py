@@ -8,7 +8,8 @@ share (1 - s**WIDTH) ** BLOCKS is missed, 7e-5 at similarity 0.65. Where the dis
 of both texts are compared.
 
 Equal letters are collapsed before the join and expanded after it. A block bucket of more than ``BUCKET_ROWS``
-texts is not held by one task: it is cut into chunks and every pair of chunks is joined by itself.
+texts is not held by one task: it is cut into chunks and every pair of chunks is joined by itself. Records of very many
+copies, and representatives with very many partners, are joined by broadcast, apart from the others.
 
 Defined results: null texts and texts of fewer than ``RUN`` letters are similar to nothing; repeated rows of an
 id give one pair; pairs that are the same record but for formatting are left out; other columns are ignored.
@@ -23,9 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import join_unique, semi_join_wide
 from ..session import materialize
-from .copies import field_digests, letter_digests, same_records
-from .frames import fixed_binary, map_texts, named, only_ids
+from .copies import field_digests, join_hot, letter_digests, same_records
+from .frames import fixed_binary, map_texts, named
 from .letters import U64, gram_hashes, gram_owner, letters, mix
 
 RUN = 12
@@ -201,27 +203,49 @@ def similar_representatives(df: DataFrame, signed: DataFrame, reps: DataFrame, i
     """Pairs ``a, b`` of representatives (one of each letter class) with at least ``LEAST`` of their runs in common."""
     prints = materialize(reps.where("runs > 0").select("rec_id", "runs", "print").mapInArrow(_add_brief, "rec_id bigint, runs int, print binary, brief binary"), "prints")
     a, b = (prints.select(F.col("rec_id").alias(s), F.col("brief").alias(f"brief_{s}"), F.col("runs").alias(f"runs_{s}")) for s in "ab")
-    both = block_join(prints).join(a, "a").join(b, "b").withColumn("runs", F.least("runs_a", "runs_b"))
+    pairs = materialize(block_join(prints), "candidates")
+    both = join_unique(join_unique(pairs, a, ["a"]), b, ["b"]).withColumn("runs", F.least("runs_a", "runs_b"))
     shares = materialize(both.select("a", "b", "runs", "brief_a", "brief_b").mapInArrow(_share, "a bigint, b bigint, runs int, share double"), "shares")
     long = F.col("runs") >= MANY
     sure = shares.where(F.col("share") > F.when(long, SURE_YES).otherwise(SHORT_YES))
     open_ = shares.where((F.col("share") <= F.when(long, SURE_YES).otherwise(SHORT_YES)) & (F.col("share") >= F.when(long, SURE_NO).otherwise(SHORT_NO)))
     named_texts = named(df, rec_id=id_col, text=text_col)
-    needed = open_.select(F.explode(F.array("a", "b")).alias("rec_id")).distinct()
-    texts = materialize(only_ids(named_texts, needed).join(needed, "rec_id", "left_semi").groupBy("rec_id").agg(F.first("text").alias("text")), "texts")
+    needed = materialize(open_.select(F.explode(F.array("a", "b")).alias("rec_id")).distinct(), "needed")
+    texts = materialize(semi_join_wide(named_texts, needed, ["rec_id"]).dropDuplicates(["rec_id"]), "texts")  # only these are moved
     ta, tb = (texts.select(F.col("rec_id").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab")
-    checked = open_.select("a", "b").join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b").mapInArrow(_check, "a bigint, b bigint")
+    checked = join_unique(join_unique(open_.select("a", "b"), ta, ["a"]), tb, ["b"]).select("a", "b", "text_a", "text_b").mapInArrow(_check, "a bigint, b bigint")
     return sure.select("a", "b").unionByName(checked)
 
 
+def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``rec_id, member, keep_id`` of all records, and the similar pairs ``a, b`` of their representatives ``rec_id``."""
+    signed = materialize(signatures(df, id_col, text_col), "signed")
+    sets = materialize(same_records(df, keys=signed).select("letters_key", "head", "keep_id", "copies"), "sets")
+    met = join_hot(signed.where("rec_id is not null"), sets, "letters_key")
+    met = materialize(met.select("head", "rec_id", "keep_id", "runs", F.when(F.col("head") == F.col("rec_id"), F.col("print")).alias("print")), "classes")
+    reps = met.where("print is not null").select("rec_id", "runs", "print").dropDuplicates(["rec_id"])
+    return met.select(F.col("head").alias("rec_id"), F.col("rec_id").alias("member"), "keep_id").distinct(), similar_representatives(df, signed, reps, id_col, text_col)
+
+
+def near_pairs(df: DataFrame, id_col: str = "rec_id", text_col: str = "text") -> DataFrame:
+    """``rec_id_a, rec_id_b`` (a < b): similar pairs of representatives, the smallest record of each letter string. With
+    ``near_members`` they say all that ``near_found`` does, without its square of the copies."""
+    members, pairs = _classes(df, id_col, text_col)
+    sets = members.where("rec_id = member").select("rec_id", "keep_id")
+    a, b = (sets.select(F.col("rec_id").alias(s), F.col("keep_id").alias(f"set_{s}")) for s in "ab")
+    return pairs.join(a, "a").join(b, "b").where("set_a <> set_b").select(F.least("a", "b").alias("rec_id_a"), F.greatest("a", "b").alias("rec_id_b")).distinct()
+
+
+def near_members(df: DataFrame, id_col: str = "rec_id", text_col: str = "text") -> DataFrame:
+    """``rec_id, class_id, links`` of every record with letters: its representative and how many others that is similar to."""
+    members, pairs = _classes(df, id_col, text_col)
+    links = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("links"))
+    return members.select(F.col("member").alias("rec_id"), F.col("rec_id").alias("class_id")).join(links, "class_id", "left").select("rec_id", "class_id", F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
+
+
 def near_found(df: DataFrame, id_col: str = "rec_id", text_col: str = "text") -> DataFrame:
     """``rec_id_a, rec_id_b`` (a < b) of all similar records that are not the same record."""
-    signed = materialize(signatures(df, id_col, text_col), "signed")
-    sets = materialize(same_records(df, keys=signed).select("letters_key", "keep_id"), "sets")
-    heads = signed.where("rec_id is not null").groupBy("letters_key").agg(F.min("rec_id").alias("rec_id"))
-    members = materialize(signed.where("rec_id is not null").select("letters_key", F.col("rec_id").alias("member")).join(heads, "letters_key").join(sets, "letters_key").select("rec_id", "member", "keep_id"), "members")
-    reps = signed.join(members.where("rec_id = member").select("rec_id").distinct(), "rec_id", "left_semi").dropDuplicates(["rec_id"])
-    pairs = similar_representatives(df, signed, reps, id_col, text_col)
+    members, pairs = _classes(df, id_col, text_col)
     ma, mb = (members.select(F.col("rec_id").alias(s), F.col("member").alias(f"m_{s}"), F.col("keep_id").alias(f"set_{s}")) for s in "ab")
     met = pairs.join(ma, "a").join(mb, "b").where("set_a <> set_b")
     return met.select(F.least("m_a", "m_b").alias("rec_id_a"), F.greatest("m_a", "m_b").alias("rec_id_b")).distinct()

@@ -148,3 +148,22 @@ def test_block_pairs_over_batches():
         batches = [pa.RecordBatch.from_arrays([pa.array(keys[i : i + size]), pa.array(ids[i : i + size])], ["key", "id"]) for i in range(0, 400, size)]
         got = {(a, b) for out in N._bucket_pairs(iter(batches)) for a, b in zip(out.column(0).to_pylist(), out.column(1).to_pylist())}
         assert got == want
+
+
+def test_pairs_of_representatives_and_members(spark, monkeypatch):
+    """A text of very many copies gives one representative; the pairs don't grow with the square of the copies."""
+    from grainmill.operators import joins
+
+    monkeypatch.setattr(C, "HOT_COPIES", 100)
+    monkeypatch.setattr(joins, "FEW_KEYS", 0)
+    draw = random.Random(21)
+    base = words(draw, 40)
+    edited = " ".join([*base[:20], "altro", *base[21:]])
+    df = table(spark, [(9, edited), (8, edited.upper()), *near_rows()[:40]])
+    copies = spark.range(20_000).selectExpr("id + 100000 as rec_id", f"'{' '.join(base)}' as text")
+    df = df.select("rec_id", "text").unionByName(copies)
+    pairs = {(r.rec_id_a, r.rec_id_b) for r in N.near_pairs(df).collect()}
+    assert (8, 100000) in pairs
+    assert not any(a > 100000 or b > 100000 for a, b in pairs)
+    of = {r.rec_id: (r.class_id, r.links) for r in N.near_members(df).collect()}
+    assert of[9] == (8, 1) and of[100000 + 19_999] == (100000, 1)
