@@ -26,6 +26,8 @@ from .pretokens import _BACK, _STEP, _power
 
 SPACE = 0x2581  # how the pieces write a blank
 _FAR = -1e9
+#: Characters of a block of a long segment, and numbers a table of places may hold.
+BLOCK, TABLE = 256, 4_000_000
 
 
 class DoubleArray:
@@ -114,15 +116,12 @@ class Vocabulary:
         size = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
         return np.where(known, 1, size if self.byte_fallback else 1)
 
-    def best_lengths(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Count-only Viterbi: pieces on the best path of each segment; of equal paths the shorter."""
-        n, sizes = len(codes), ends - starts
-        owner_end = np.repeat(ends, sizes)
-        at = np.arange(n)
-        cost = []  # by piece length, at the place where the piece begins
-        state, live = np.zeros(n, np.int32), np.ones(n, bool)
-        symbols = self.trie.symbol(codes)
-        single = self.single(codes)
+    def _costs(self, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+        """By length of a piece its score at the place where it begins, far below all others where there is none."""
+        n = len(codes)
+        owner_end = np.repeat(starts + sizes, sizes)
+        at, symbols = np.arange(n), self.trie.symbol(codes)
+        cost, state, live = [], np.zeros(n, np.int32), np.ones(n, bool)
         for d in range(1, self.trie.depth + 1):
             live &= at + d <= owner_end
             rows = np.flatnonzero(live)
@@ -132,45 +131,91 @@ class Vocabulary:
             live[rows] = state[rows] >= 0
             value = np.where(live, self.trie.value[np.maximum(state, 0)], -1)
             score = np.where(value >= 0, self.scores[np.maximum(value, 0)], _FAR)
-            if d == 1:
-                score = np.where(value >= 0, score, self.unknown)
-            cost.append(score)
-        # places of all segments are worked on together, by their distance from the segment's start
+            cost.append(np.where(value >= 0, score, self.unknown) if d == 1 else score)
+        return cost
+
+    def best_lengths(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Count-only Viterbi: pieces on the best path of each segment; of equal paths the shorter.
+
+        The places of many segments are worked on together, by their distance from the segment's start. A long segment is
+        cut into blocks that are worked on together as well: each from every state in which it may be entered, as pieces
+        cross its start; then the blocks' outcomes are put in a row.
+        """
+        sizes = ends - starts
+        cost, single = self._costs(codes, starts, sizes), self.single(codes)
+        out = np.zeros(len(starts), np.int64)
         order = np.argsort(-sizes, kind="stable")
-        score_at = np.full((len(starts), int(sizes.max(initial=0)) + 1), _FAR * 2) if len(starts) * (int(sizes.max(initial=0)) + 1) <= 4_000_000 else None
-        if score_at is None:  # very long segments: halves, so that the table stays small
-            half = len(starts) // 2
-            if half == 0:
-                return np.array([self._one(codes, cost)])
-            cut = starts[half]
-            left = self.best_lengths(codes[:cut], starts[:half], ends[:half])
-            return np.r_[left, self.best_lengths(codes[cut:], starts[half:] - cut, ends[half:] - cut)]
+        long = order[sizes[order] > 2 * BLOCK]
+        if len(long):
+            out[long] = self._long(cost, single, starts[long], sizes[long])
+        order = order[len(long) :]
+        while len(order):
+            part = order[: max(1, TABLE // (int(sizes[order[0]]) + 1))]
+            _, counts = self._table(cost, single, starts[part], sizes[part])
+            out[part] = counts[np.arange(len(part)), sizes[part]]
+            order = order[len(part) :]
+        return out
+
+    @staticmethod
+    def _table(cost: list[np.ndarray], single: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Score and count of the best path to every place of segments that come by falling size."""
+        score_at = np.full((len(starts), int(sizes.max(initial=0)) + 1), _FAR * 2)
         count_at = np.zeros(score_at.shape, np.int64)
         score_at[:, 0] = 0.0
-        sorted_sizes = sizes[order]
         for r in range(1, score_at.shape[1]):
-            rows = order[: np.searchsorted(-sorted_sizes, -r, side="right")]
+            n = int(np.searchsorted(-sizes, -r, side="right"))
+            best, count = score_at[:n, r], count_at[:n, r]
             for d in range(1, min(r, len(cost)) + 1):
-                begin = starts[rows] + r - d
-                s = score_at[rows, r - d] + cost[d - 1][begin]
-                c = count_at[rows, r - d] + (single[begin] if d == 1 else 1)
-                old, old_c = score_at[rows, r], count_at[rows, r]
-                better = (s > old + 1e-9) | ((np.abs(s - old) <= 1e-9) & (c < old_c))
-                score_at[rows, r] = np.where(better, s, old)
-                count_at[rows, r] = np.where(better, c, old_c)
-        return count_at[np.arange(len(starts)), sizes]
-
-    def _one(self, codes: np.ndarray, cost: list[np.ndarray]) -> int:
-        """The same for one very long segment, with a window of places."""
-        n, depth = len(codes), len(cost)
-        best, count = np.full(n + 1, _FAR * 2), np.zeros(n + 1, np.int64)
-        best[0], single = 0.0, self.single(codes)
-        for r in range(1, n + 1):
-            for d in range(1, min(r, depth) + 1):
-                s, c = best[r - d] + cost[d - 1][r - d], count[r - d] + (single[r - d] if d == 1 else 1)
-                if s > best[r] + 1e-9 or (abs(s - best[r]) <= 1e-9 and c < count[r]):
-                    best[r], count[r] = s, c
-        return int(count[n])
+                begin = starts[:n] + r - d
+                best, count = _better(best, count, score_at[:n, r - d] + cost[d - 1][begin], count_at[:n, r - d] + (single[begin] if d == 1 else 1))
+            score_at[:n, r], count_at[:n, r] = best, count
+        return score_at, count_at
+
+    def _long(self, cost: list[np.ndarray], single: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        depth, blocks, heads = len(cost), sizes // BLOCK, sizes % BLOCK
+        order = np.argsort(-heads, kind="stable")
+        first = starts + heads  # where each segment's first block begins
+        score, count = np.full((len(starts), depth), _FAR * 2), np.zeros((len(starts), depth), np.int64)
+        head_score, head_count = self._table(cost, single, starts[order], heads[order])
+        for e in range(depth):  # states are how far before the block's start the last piece ends
+            some = np.flatnonzero(heads[order] >= e)
+            score[order[some], e], count[order[some], e] = head_score[some, heads[order[some]] - e], head_count[some, heads[order[some]] - e]
+        out = np.zeros(len(starts), np.int64)
+        begin = np.repeat(first, blocks) + BLOCK * (np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks))
+        of = np.repeat(np.arange(len(starts)), blocks)
+        at_once = max(1, TABLE // (depth * depth))
+        for a in range(0, len(begin), at_once):
+            moved, counted = self._through(cost, single, begin[a : a + at_once], depth)
+            for i, k in enumerate(of[a : a + at_once].tolist()):
+                s, c = score[k][:, None] + moved[:, i].T, count[k][:, None] + counted[:, i].T
+                top = s.max(axis=0)
+                c = np.where(s >= top - 1e-9, c, np.iinfo(np.int64).max).min(axis=0)
+                score[k], count[k] = top, np.where(top > _FAR, c, 0)
+                out[k] = count[k, 0]
+        return out
+
+    @staticmethod
+    def _through(cost: list[np.ndarray], single: np.ndarray, begin: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """By state at its end, block and state at its start the score and count of the best path through each block."""
+        window = [np.full((len(begin), depth), _FAR * 2) for _ in range(depth)]
+        counts = [np.zeros((len(begin), depth), np.int64) for _ in range(depth)]
+        for e in range(depth):
+            window[e][:, e] = 0.0
+        for t in range(1, BLOCK + 1):
+            best, count = np.full((len(begin), depth), _FAR * 2), np.zeros((len(begin), depth), np.int64)
+            for d in range(1, depth + 1):
+                places = begin + t - d
+                own = cost[d - 1][np.maximum(places, 0)]
+                if (own > _FAR).any():
+                    best, count = _better(best, count, window[d - 1] + own[:, None], counts[d - 1] + (single[np.maximum(places, 0)][:, None] if d == 1 else 1))
+            window, counts = [best, *window[:-1]], [count, *counts[:-1]]
+        return np.stack(window), np.stack(counts)
+
+
+def _better(score: np.ndarray, count: np.ndarray, new: np.ndarray, new_count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The better path of each place; of equal ones the one of fewer pieces."""
+    take = (new > score + 1e-9) | ((np.abs(new - score) <= 1e-9) & (new_count < count))
+    return np.where(take, new, score), np.where(take, new_count, count)
 
 
 def segments(v: Vocabulary, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

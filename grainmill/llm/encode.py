@@ -27,6 +27,10 @@ from .letters import slices
 from .pretokens import cut
 
 TOKENIZERS = "/opt/tokenizers"
+#: Characters of a chunk of texts, but for the last text.
+CHUNK_CHARS = 8_000_000
+#: Pre-tokens whose ids are put together at a time, but for a longer text.
+MOST_WORDS = 2_000_000
 _WORD, _TEXT = 0, 1
 _ROWS = pa.schema([("chunk", pa.int64()), ("kind", pa.int32()), ("number", pa.int64()), ("data", pa.binary())])
 _ROWS_SQL = "chunk bigint, kind int, number bigint, data binary"
@@ -52,22 +56,28 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 def _to_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (chunk, WORD, position, utf-8) for the words of a batch and (chunk, TEXT, id, positions) for its texts."""
-    part = TaskContext.get().partitionId()
-    for number, batch in enumerate(batches):
-        chunk, ids = part << 32 | number, batch.column("doc_id")
-        texts = [t or "" for t in batch.column("text").to_pylist()]
+    """Rows (chunk, WORD, position, utf-8) for the words of a chunk and (chunk, TEXT, id, positions) for its texts.
+
+    A chunk ends with its batch or after CHUNK_CHARS characters, so what a task holds of it doesn't grow with the texts.
+    """
+    part, number = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        ids, texts = batch.column("doc_id"), [t or "" for t in batch.column("text").to_pylist()]
         words: dict[str, int] = {}
-        packed = []
+        packed, begun, total = [], 0, 0
         for start, end in slices(texts):
             joined, at, first, hashes = cut(texts[start:end])
             _, sample, where = np.unique(hashes, return_index=True, return_inverse=True)
             own = np.array([words.setdefault(joined[a:b], len(words)) for a, b in zip(at[sample].tolist(), at[sample + 1].tolist())], np.int64)
             positions = own[where] if len(own) else where
             packed += [pack(positions[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-        coded = [w.encode("utf-8", "surrogatepass") for w in words]
-        yield _rows(chunk, _WORD, np.arange(len(coded)), coded)
-        yield _rows(chunk, _TEXT, ids, packed)
+            total += len(joined)
+            if total >= CHUNK_CHARS or end == len(texts):
+                chunk = part << 32 | number
+                coded = [w.encode("utf-8", "surrogatepass") for w in words]
+                yield _rows(chunk, _WORD, np.arange(len(coded)), coded)
+                yield _rows(chunk, _TEXT, ids.slice(begun, end - begun), packed)
+                words, packed, begun, total, number = {}, [], end, 0, number + 1
 
 
 def _rows(chunk: int, kind: int, numbers: object, data: list[bytes]) -> pa.RecordBatch:
@@ -131,8 +141,11 @@ def _table(numbers: list[np.ndarray], data: list[pa.Array]) -> tuple[np.ndarray,
 
 
 def _texts(batch: pa.RecordBatch, first: np.ndarray, count: np.ndarray, ids: np.ndarray, at_once: int = 500) -> Iterator[pa.RecordBatch]:
-    for start in range(0, batch.num_rows, at_once):
-        part = batch.slice(start, at_once)
+    sizes = np.fromiter((int.from_bytes(x[:8], "little") for x in batch.column("data").to_pylist()), np.int64, batch.num_rows)
+    group = np.cumsum(sizes) // MOST_WORDS  # long texts come in smaller batches
+    starts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+    for start, end in ((x, min(x + at_once, b)) for a, b in zip(starts, starts[1:]) for x in range(a, b, at_once)):
+        part = batch.slice(start, end - start)
         positions = [unpack(x) for x in part.column("data").to_pylist()]
         every = np.concatenate(positions).astype(np.int64)
         sizes = count[every] if len(every) else np.zeros(0, np.int64)

@@ -33,6 +33,12 @@ def test_pretokens_against_the_pattern():
     assert len(set(words.values())) == len(words)
 
 
+def slices_of(texts, limit):
+    from grainmill.llm.letters import slices
+
+    return slices(texts, limit)
+
+
 def test_packing():
     for n in (0, 1, 1000):
         x = np.random.default_rng(n).integers(0, 1 << 20, n).astype(np.uint32)
@@ -150,3 +156,52 @@ def test_budget_by_slice(spark):
     slices = {(r.slice, r.key): r.records for r in B.token_slices(df).collect()}
     assert slices == {("source", "a"): 4, ("source", None): 1, ("lang", "it"): 4, ("lang", "und"): 1, ("domain", "x"): 3, ("domain", None): 2}
     assert B.token_budget(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_long_segments_go_through_blocks(seed, monkeypatch):
+    monkeypatch.setattr(B, "BLOCK", 16)
+    monkeypatch.setattr(B, "TABLE", 2000)
+    scores = unigram(seed)
+    v = B.Vocabulary(scores)
+    draw = random.Random(seed)
+    texts = ["".join(draw.choice("abcè") for _ in range(draw.randrange(1, 400))) for _ in range(60)]
+    _, got = B.count_tokens(v, texts)
+    assert got.tolist() == [slow_viterbi("▁" + t, scores, v.unknown) for t in texts]
+
+
+def test_a_million_letters_without_a_blank(pieces):
+    import time
+
+    draw = np.random.default_rng(2)
+    text = "".join(map(chr, draw.integers(97, 123, 1_000_000).tolist()))
+    began = time.perf_counter()
+    _, got = B.count_tokens(pieces[0], [text])
+    assert time.perf_counter() - began < 20  # seconds, where a pass by place would take minutes
+    assert 300_000 < got[0] < 700_000
+
+
+def test_chunks_end_after_so_many_characters(spark, monkeypatch):
+    """Long texts make more chunks, not larger ones, and the ids are the same."""
+    df = table(spark, [f"parola{i % 7} " * (i % 50) for i in range(300)] + ["x y " * 3000, None, ""])
+    want = {r.doc_id: r.ids for r in E.encode(df).collect()}
+    chunks = []
+    monkeypatch.setattr(E, "CHUNK_CHARS", 500)
+    monkeypatch.setattr(E, "MOST_WORDS", 40)
+    monkeypatch.setattr("grainmill.llm.letters.SLICE_CHARS", 300)
+
+    class Context:
+        partitionId = staticmethod(lambda: 3)
+
+    monkeypatch.setattr(E.TaskContext, "get", lambda: Context)
+    monkeypatch.setattr(E, "slices", lambda texts: slices_of(texts, 300))
+    batch = pa.RecordBatch.from_pandas(df.select("doc_id", "text").toPandas())
+    rows = [r for b in E._to_words(iter([batch])) for r in b.to_pylist()]
+    chunks = sorted({r["chunk"] for r in rows})
+    assert len(chunks) > 20
+    texts = {r["doc_id"]: len(r["text"] or "") for r in batch.to_pylist()}
+    for c in chunks:
+        held = [texts[r["number"]] for r in rows if r["chunk"] == c and r["kind"] == 1]
+        assert sum(held) - max(held) < 1000
+    got = {r.doc_id: r.ids for r in E.encode(df).collect()}
+    assert got == want
