@@ -220,6 +220,17 @@ j AS (SELECT {key} AS k, json_type(l, '$.rec_key') AS t FROM l WHERE l LIKE '{{%
 SELECT DISTINCT k::BIGINT AS rec_key FROM j WHERE t IN ('UBIGINT', 'BIGINT', 'VARCHAR') AND regexp_full_match(k, '[0-9]+')"""
 
 
+def _records() -> str:
+    """Of every key the line of the latest attempt, then with a text, then of the longest text, then of the greatest md5."""
+    line = "trim(ltrim(trim(l, ' ' || chr(9) || chr(13)), chr(65279)), ' ' || chr(9) || chr(13))"
+    value = lambda c: f"CASE WHEN json_type(l, '$.{c}') = 'NULL' THEN NULL ELSE json_extract_string(l, '$.{c}') END AS {c}"
+    return rf"""WITH l AS (SELECT attempt, {line} AS l FROM (SELECT coalesce(attempt, 0) AS attempt, unnest(string_split(replace(body, chr(13), chr(10)), chr(10))) AS l FROM small_files)),
+j AS (SELECT attempt, json_extract_string(l, '$.rec_key') AS k, json_type(l, '$.rec_key') AS t, {value('text')}, {value('source')}, {value('lang')} FROM l WHERE l LIKE '{{%' AND json_valid(l)),
+r AS (SELECT k::BIGINT AS rec_key, text, source, lang, row_number() OVER (PARTITION BY k::BIGINT ORDER BY attempt DESC, text IS NOT NULL DESC, coalesce(length(text), 0) DESC,
+  md5(coalesce(text, '') || chr(31) || coalesce(source, '') || chr(31) || coalesce(lang, '')) DESC) AS n FROM j WHERE t IN ('UBIGINT', 'BIGINT', 'VARCHAR') AND regexp_full_match(k, '[0-9]+'))
+SELECT rec_key, text, source, lang FROM r WHERE n = 1"""
+
+
 def sql() -> dict[str, str]:
     one = "coalesce(text, '')"
     script = ", ".join(f"round({ratio(found(one, f'[{p.script}]'), found(one, chr(92) + 'p{L}'))}, 6) AS {k}" for k, p in PROFILES.items())
@@ -288,7 +299,7 @@ SELECT task, doc, source, filepath, doc - cumulative_start AS "row" FROM p JOIN
         "q_repack": "SELECT text, id, coalesce(nullif(array_to_string(source, ','), ''), 'consensus') AS source FROM consensus_docs",
         "q_top_sources": "SELECT source, count(*) AS documents FROM documents WHERE source <> '' GROUP BY source ORDER BY documents DESC, source LIMIT 5",
     }
-    out["p6_found"] = _record_keys()
+    out["p6_found"], out["p6_records"] = _record_keys(), _records()
     out["q_write_consensus"] = out["q_consensus_hash"].replace(" AS sources ", " AS source ")
     for k, p in PROFILES.items():
         out[f"q_quality_filter_{k}"] = quality(p)

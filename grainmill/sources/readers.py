@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from . import snapshots
 
 STANDARD_SCHEMA = "text STRING, id STRING, source STRING"
 CONSENSUS_SCHEMA = "text STRING, id STRING, source ARRAY<STRING>"
@@ -23,9 +24,9 @@ def path_source(path, root_parts: int | None = None):
 
 
 def parquet_folder(spark: SparkSession, path: str, schema: str | None = None, limit: int | None = None) -> DataFrame:
-    """All Parquet files below a folder; ``limit`` is over the whole folder."""
+    """All Parquet files below a folder, of its current snapshot if it has any; ``limit`` is over the whole folder."""
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-    df = (reader.schema(schema) if schema else reader).parquet(path)
+    df = (reader.schema(schema) if schema else reader).parquet(snapshots.current(spark, path))
     return df if limit is None else df.limit(limit)
 
 

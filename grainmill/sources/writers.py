@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import math
-import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.relational import STANDARD, standardize
+from . import snapshots
 
 #: Limits of a published file; fixed values.
 MAX_FILE_BYTES, MIN_ROWS, MAX_ROWS, FILL = 280 << 20, 10_000, 500_000, 0.9
@@ -36,17 +36,23 @@ def write_consensus(df: DataFrame, path: str, max_files: int = 10) -> None:
 
 
 def consolidate(spark: SparkSession, path: str, max_files: int, consensus: bool = False) -> None:
-    """Rewrites a folder of standard tables as at most ``max_files`` files; the old folder is set aside until the new one is in place."""
-    df = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").parquet(path)
+    """Rewrites a folder of standard tables as at most ``max_files`` files: a new snapshot, committed by one atomic rename.
+
+    The package's readers see the old files or the new ones; a crash before the commit leaves the old state. The old files
+    are removed afterwards.
+    """
+    df = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true").option("pathGlobFilter", "*.parquet").parquet(snapshots.current(spark, path))
     kinds = {"source": "array<string>"} if consensus else {}
     rows = df.select(*(F.col(c).cast(kinds.get(c, "string")).alias(c) if c in df.columns else F.lit(None).cast(kinds.get(c, "string")).alias(c) for c in STANDARD))
-    new, old = f"{path.rstrip('/')}-new-{uuid.uuid4().hex}", f"{path.rstrip('/')}-old-{uuid.uuid4().hex}"
+    new = snapshots.new_snapshot(path)
     rows.repartition(max_files).write.option("compression", "zstd").parquet(new)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not (fs.rename(hadoop(path), hadoop(old)) and fs.rename(hadoop(new), hadoop(path))):
-        raise RuntimeError(f"could not swap {path}; the old files are at {old}")
-    fs.delete(hadoop(old), True)
+    old = [f.getPath() for f in fs.listStatus(hadoop(path)) if f.getPath().getName() not in (snapshots.FOLDER, snapshots.POINTER)]
+    snapshots.commit(spark, path, new)
+    for f in old:
+        fs.delete(f, True)
+    snapshots.vacuum(spark, path, 0)
 
 
 def flatten(df: DataFrame, fallback: str = "consensus") -> DataFrame:
