@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 
 from .functions.profiles import PROFILES
 from .operators import compaction, consensus, dedup, overlap, quality, tokens
+from .plans import pipeline
+from .session import ship
 from .sources import readers, registry, writers
 
 
@@ -22,9 +24,7 @@ def _filter(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _keyed(spark: SparkSession, path: str):
-    """Standard rows with a key that is the same on every read: the content id at full length and the source."""
-    df = readers.parquet_folder(spark, path, readers.STANDARD_SCHEMA)
-    return df.selectExpr("text", "id", "source", "concat(md5(coalesce(text, '')), ':', coalesce(source, '')) as doc_id")
+    return pipeline.keyed(readers.parquet_folder(spark, path, readers.STANDARD_SCHEMA))
 
 
 def _minhash(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -38,7 +38,8 @@ def _consensus(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _sentences(spark: SparkSession, a: argparse.Namespace) -> None:
-    dedup.sentence_dedup(_keyed(spark, a.input)).select("text").write.option("compression", "zstd").parquet(a.output)
+    rows = dedup.sentence_dedup(_keyed(spark, a.input).dropDuplicates(["doc_id"]), keep=("source",))
+    writers.write_standard(rows.select("text", "source"), a.output)
 
 
 def _overlap(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -46,14 +47,37 @@ def _overlap(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _tokens(spark: SparkSession, a: argparse.Namespace) -> None:
-    counts = tokens.token_count(readers.parquet_folder(spark, a.input, readers.STANDARD_SCHEMA)).cache()
-    writers.json_report(counts, a.output, input=a.input)
+    rows, counter = readers.parquet_folder(spark, a.input, limit=a.max_docs), tokens.tokenizer(a.tokenizer)
+    if dict(rows.dtypes)["source"].startswith("array"):  # a consensus set: totals, by source and by pair of sources
+        writers.json_report(tokens.tokens_by_source(rows, counter), a.output, input=a.input, tokenizer=a.tokenizer, max_docs=a.max_docs, pairs=[r.asDict() for r in tokens.pairwise_tokens(rows, counter).collect()], total=tokens.totals(rows, counter).first().asDict())
+        return
+    counts = tokens.token_count(rows, counter).cache()
+    writers.json_report(counts, a.output, input=a.input, tokenizer=a.tokenizer, max_docs=a.max_docs)
     print(writers.summary(counts, "tokens"))
+    if a.log:
+        tokens.write_log(a.log, tokens.stage_log(rows.selectExpr("text", "source", f"'{a.lang or 'unknown'}' as lang"), a.stage, counter))
+
+
+def _stats(spark: SparkSession, a: argparse.Namespace) -> None:
+    log = tokens.read_log(spark, a.input)
+    if log is None:
+        print("nothing is logged yet")
+        return
+    log = log if a.lang is None else log.where(log.lang == a.lang)
+    print(writers.summary(log.drop("logged_at"), "tokens", 3))
+    print(writers.summary(tokens.language_summary(log).drop("sources"), "tokens", 2))
+
+
+def _pipeline(spark: SparkSession, a: argparse.Namespace) -> None:
+    stages = pipeline.STAGES if a.stage == "all" else [a.stage]
+    if a.dry_run:
+        stages = ["download"]
+    print("\n".join(pipeline.run(spark, a.root, a.lang, stages, a.limit, a.input_dir, a.output_dir, tokens.tokenizer(a.tokenizer))))
 
 
 def _convert(spark: SparkSession, a: argparse.Namespace) -> None:
     read = {"parquet": readers.parquet_folder, "jsonl": readers.json_lines, "chunks": readers.chunked_json_lines}[a.format]
-    readers.convert(read(spark, a.input), a.source).write.option("compression", "zstd").parquet(a.output)
+    readers.convert(read(spark, a.input), a.source, keep_empty=a.format == "parquet").write.option("compression", "zstd").parquet(a.output)
 
 
 def _compact(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -91,7 +115,10 @@ def parser() -> argparse.ArgumentParser:
     verb("consensus", _consensus, at, to, ("--method", {"choices": ["minhash", "hash"], "default": "minhash"}), ("--min-sources", {"type": int, "default": 2}), ("--max-files", {"type": int, "default": 10}))
     verb("sentences", _sentences, at, to)
     verb("overlap", _overlap, at, to)
-    verb("tokens", _tokens, at, to)
+    counter = ("--tokenizer", {"default": "words", "help": "words, or a vocabulary file (.tiktoken, .model, .json)"})
+    verb("tokens", _tokens, at, to, counter, ("--max-docs", {"type": int}), ("--log", {}), ("--lang", {}), ("--stage", {"default": "unknown"}))
+    verb("stats", _stats, at, ("--lang", {}))
+    verb("pipeline", _pipeline, ("root", {}), lang, ("--stage", {"choices": [*pipeline.STAGES, "all"], "default": "all"}), ("--limit", {"type": int}), ("--input-dir", {}), ("--output-dir", {}), ("--dry-run", {"action": "store_true"}), counter)
     verb("convert", _convert, at, to, ("--source", {"required": True}), ("--format", {"choices": ["parquet", "jsonl", "chunks"], "default": "parquet"}))
     verb("compact", _compact, at, to, ("--target-mb", {"type": int, "default": 128}))
     verb("consolidate", _consolidate, at, ("--max-files", {"type": int, "default": 10}))
@@ -104,6 +131,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     args = parser().parse_args(argv)
     if args.verb != "fetch-commands" and spark is None:
         spark = SparkSession.builder.appName("grainmill").getOrCreate()
+        ship(spark)
     args.run(spark, args)
 
 

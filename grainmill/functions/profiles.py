@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
+from pyspark.sql import Column
+
 from . import lexicons as lex
 
 
@@ -40,6 +43,8 @@ class LanguageProfile:
     filter_curly_bracket: bool = True
     filter_javascript: bool = True
     filter_repetition: bool = True
+    #: Own rules before all others: (test of a text column, reason) each.
+    leading: tuple[tuple[Callable[[Column], Column], str], ...] = ()
     # Optional further rules; None leaves them out.
     min_avg_word_length: float | None = None
     max_avg_word_length: float | None = None

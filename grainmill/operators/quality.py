@@ -25,7 +25,7 @@ LINE_REASONS = ["line_long_word", "line_javascript", "line_policy", "line_too_fe
 def _document_reason(p: LanguageProfile, s: Column) -> Column:
     """Rules on the raw text."""
     alpha = T.letter_count(s)
-    rules: list[tuple[Column, str]] = []
+    rules: list[tuple[Column, str]] = [(test(s), reason) for test, reason in p.leading]
     if p.specific and p.min_specific_ratio:
         rules.append((T.ratio(T.class_count(s, p.specific), alpha) < p.min_specific_ratio, p.low_specific_reason))
     rules.append((F.length(s) < p.min_doc_length, "too_short_chars"))

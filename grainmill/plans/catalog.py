@@ -122,6 +122,14 @@ def _summary(t: DataFrame) -> DataFrame:
     return tokens.language_summary(tokens.stage_log(t, "filtered"))
 
 
+def _logged(t: DataFrame) -> DataFrame:
+    """A log of two runs of a stage, the second over other texts, and of another stage."""
+    path = fresh_path(t.sparkSession, "log")
+    for stage, rows in (("filtered", t), ("filtered", t.where("length(text) > 200")), ("deduped", t)):
+        tokens.write_log(path, tokens.stage_log(rows, stage))
+    return tokens.read_log(t.sparkSession, path).drop("logged_at")
+
+
 def _addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "dup_pairs")
     points = p.select(F.col("task1").alias("task"), F.col("doc1").cast("bigint").alias("doc")).unionAll(p.select("task2", F.col("doc2").cast("bigint")))
@@ -152,7 +160,7 @@ def queries() -> dict[str, Query]:
         "q_json_chunks": _docs(lambda t: _as_json(t, "_chunk", readers.chunked_json_lines)),
         "q_file_source": lambda s, d: table(s, d, "file_info").select("filepath", readers.path_source(F.col("filepath")).alias("folder")).where(F.coalesce("folder", F.lit("")) != readers.SKIPPED),
         "q_source_normalize": _docs(lambda t: t.select("doc_id", F.array_join(T.source_list(F.col("source")), ",").alias("sources"))),
-        "q_convert_standard": _docs(lambda t: readers.convert(t, "web")),
+        "q_convert_standard": _docs(lambda t: readers.convert(t, "web", keep_empty=True)),
         "q_doc_id": _docs(lambda t: t.select("doc_id", T.doc_id(F.col("text")).alias("id"))),
         "q_script_ratio": _docs(_script_ratios),
         "q_specific_char_ratio": _docs(_specific_ratios),
@@ -181,6 +189,8 @@ def queries() -> dict[str, Query]:
         "q_token_totals": _docs(tokens.totals),
         "q_tokens_by_source": _consensus(tokens.tokens_by_source),
         "q_pairwise_tokens": _consensus(tokens.pairwise_tokens),
+        "q_tokens_of_single_sources": _docs(tokens.tokens_by_source),
+        "q_stats_log": _docs(_logged),
         "q_stats_summary": _docs(_summary),
         "q_minhash_signature": _docs(lambda t: dedup.signatures(t).select(F.col("doc").alias("doc_id"), F.array_join(F.col("signature").cast("array<string>"), ",").alias("signature"))),
         "q_minhash_edges": _docs(dedup.minhash_edges),

@@ -249,7 +249,7 @@ def sql() -> dict[str, str]:
         "q_append_standard": f"SELECT text, {doc_id('text')} AS id, source FROM documents WHERE text <> '' UNION ALL SELECT text, {doc_id('text')}, 'again' FROM documents WHERE text <> ''",
         "q_file_source": r"SELECT filepath, nullif(regexp_extract(filepath, '(?:^|/)data/[^/]+/[^/]+/([^/]+)/', 1), '') AS folder FROM file_info WHERE regexp_extract(filepath, '(?:^|/)data/[^/]+/[^/]+/([^/]+)/', 1) <> 'misc'",
         "q_source_normalize": "SELECT doc_id, coalesce(nullif(source, ''), 'unknown') AS sources FROM documents",
-        "q_convert_standard": f"SELECT text, {doc_id('text')} AS id, 'web' AS source FROM documents WHERE text <> ''",
+        "q_convert_standard": f"SELECT text, {doc_id('text')} AS id, 'web' AS source FROM documents WHERE text IS NOT NULL",
         "q_doc_id": f"SELECT doc_id, {doc_id('text')} AS id FROM documents",
         "q_script_ratio": f"SELECT doc_id, {script} FROM documents",
         "q_specific_char_ratio": f"SELECT doc_id, {', '.join(f'round({ratio(found(one, f"[{PROFILES[k].specific}]"), found(one, chr(92) + "p{L}"))}, 6) AS {k}' for k in ('tr', 'it'))} FROM documents",
@@ -278,6 +278,8 @@ FROM n a JOIN n b ON a.source < b.source LEFT JOIN o ON o.source_a = a.source AN
         "q_token_totals": f"SELECT sum(coalesce({word_count('text')}, 0))::BIGINT AS tokens, count(*) AS documents FROM documents",
         "q_tokens_by_source": f"SELECT source, sum(tokens)::BIGINT AS tokens, count(*) AS documents FROM (SELECT unnest(s) AS source, tokens FROM ({_LISTS})) GROUP BY source",
         "q_pairwise_tokens": f"SELECT s[i] || '|' || s[j] AS pair, sum(tokens)::BIGINT AS tokens, count(*) AS documents FROM ({_LISTS}), unnest(range(1, len(s) + 1)) AS a(i), unnest(range(1, len(s) + 1)) AS b(j) WHERE i < j GROUP BY ALL",
+        "q_tokens_of_single_sources": f"SELECT coalesce(nullif(source, ''), 'unknown') AS source, sum(coalesce({word_count('text')}, 0))::BIGINT AS tokens, count(*) AS documents FROM documents GROUP BY 1",
+        "q_stats_log": f"WITH d AS (SELECT lang, source, text, coalesce({word_count('text')}, 0) AS n FROM documents), s AS (SELECT lang, source, sum(n)::BIGINT AS tokens, count(*)::BIGINT AS documents FROM d GROUP BY ALL), t AS (SELECT lang, source, sum(n)::BIGINT AS tokens, count(*)::BIGINT AS documents FROM d WHERE length(text) > 200 GROUP BY ALL) SELECT lang, 'deduped' AS stage, source, tokens, documents FROM s UNION ALL SELECT lang, 'filtered', source, tokens, documents FROM t UNION ALL SELECT lang, 'filtered', source, tokens, documents FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.lang IS NOT DISTINCT FROM s.lang AND t.source IS NOT DISTINCT FROM s.source)",
         "q_stats_summary": f"SELECT lang, 'filtered' AS stage, count(DISTINCT coalesce(source, '')) AS sources, sum(coalesce({word_count('text')}, 0))::BIGINT AS tokens, count(*)::BIGINT AS documents FROM documents GROUP BY lang",
         "q_minhash_signature": f"WITH {_shingled()} SELECT doc AS doc_id, array_to_string(list_transform(g, lambda x: x::VARCHAR), ',') AS signature FROM sig",
         "q_minhash_edges": f"WITH {_EDGES} SELECT least AS a, doc AS b FROM edges",

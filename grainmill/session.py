@@ -8,8 +8,10 @@ an RDD checkpoint it stays columnar, so later readers prune columns and push fil
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -32,6 +34,14 @@ def local_session(app: str = "grainmill", cpus: int | str = 8, memory: str = "12
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors of a cluster, where it isn't installed."""
+    if not spark.sparkContext.master.startswith("local"):
+        root = Path(__file__).resolve().parent
+        packed = shutil.make_archive(str(Path(tempfile.mkdtemp()) / root.name), "zip", root.parent, root.name)
+        spark.sparkContext.addPyFile(packed)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; where that is unset, on a single machine a temporary one of this process."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -64,9 +64,10 @@ def chunked_json_lines(spark: SparkSession, path: str) -> DataFrame:
     return json_lines(spark, path, "*chunk*")
 
 
-def convert(df: DataFrame, source: str) -> DataFrame:
-    """Any table with a text to the standard schema; rows without a text are left out."""
-    return df.where("text <> ''").select("text", T.doc_id(F.col("text")).alias("id"), F.lit(source).alias("source"))
+def convert(df: DataFrame, source: str, keep_empty: bool = False) -> DataFrame:
+    """Any table with a text to the standard schema; null texts are left out, empty ones unless ``keep_empty``, as
+    tables are converted whole and JSON lines are not."""
+    return df.where("text is not null" if keep_empty else "text <> ''").select("text", T.doc_id(F.col("text")).alias("id"), F.lit(source).alias("source"))
 
 
 def row_counts(spark: SparkSession, path: str) -> DataFrame:

@@ -76,6 +76,7 @@ def repack(df: DataFrame, path: str, max_bytes: int = MAX_FILE_BYTES) -> None:
 def json_report(df: DataFrame, path: str | Path, **metadata: object) -> None:
     """A small result table as a JSON file."""
     rows = [r.asDict(recursive=True) for r in df.collect()]
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
     Path(path).write_text(json.dumps({"_metadata": metadata, "rows": rows}, ensure_ascii=False, indent=2, default=str), encoding="utf-8")
 
 

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 
@@ -51,3 +52,48 @@ def test_compact_and_convert(spark, tmp_path):
     assert readers.parquet_folder(spark, str(tmp_path / "big")).count() == 4
     cli.main(["convert", str(tmp_path / "small"), str(tmp_path / "std"), "--source", "x", "--format", "chunks"], spark)
     assert readers.parquet_folder(spark, str(tmp_path / "std"), readers.STANDARD_SCHEMA).count() == 5
+
+
+def test_the_whole_pipeline(spark, corpus, capsys):
+    root = corpus / "data"
+    (root / "it").mkdir(parents=True)
+    (corpus / "in").rename(root / "it" / "downloads")
+    cli.main(["pipeline", str(root), "--lang", "it"], spark)
+    said = capsys.readouterr().out
+    assert "fineweb-2" in said
+    assert readers.parquet_folder(spark, str(root / "it" / "filtered")).count() == 12
+    assert 0 < readers.parquet_folder(spark, str(root / "it" / "deduped")).count() <= 9
+    assert readers.parquet_folder(spark, str(root / "it" / "consensus"), readers.CONSENSUS_SCHEMA).count() > 0
+    assert {p.name for p in (root / "it" / "reports").iterdir()} == {"tokens.json", "overlap.json"}
+    cli.main(["stats", str(root / "token_log"), "--lang", "it"], spark)
+    said = capsys.readouterr().out
+    assert "deduped" in said and "hplt2" in said
+    cli.main(["pipeline", str(root), "--lang", "it", "--stage", "filter", "--limit", "4", "--output-dir", str(corpus / "some")], spark)
+    assert readers.parquet_folder(spark, str(corpus / "some")).count() <= 4
+    cli.main(["pipeline", str(root), "--lang", "it", "--dry-run"], spark)
+    cli.main(["stats", str(corpus / "none")], spark)
+    assert "nothing is logged" in capsys.readouterr().out
+
+
+def test_sentences_keep_the_standard_schema(spark, tmp_path):
+    shared = " ".join(f"questa frase condivisa numero {k} si ripete sempre." for k in ("uno", "due", "tre"))
+    rows = [(" ".join(text(10 * i + k) for k in range(4)) + " " + shared, "x", f"s{i}") for i in range(3)]
+    spark.createDataFrame(rows, readers.STANDARD_SCHEMA).write.parquet(str(tmp_path / "in"))
+    cli.main(["sentences", str(tmp_path / "in"), str(tmp_path / "out")], spark)
+    got = readers.parquet_folder(spark, str(tmp_path / "out")).collect()
+    assert {r.source for r in got} == {"s0", "s1", "s2"}
+    assert all(r.id and r.id != "x" and "condivisa" not in r.text for r in got)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.tiktoken", "piece_bpe_32k.model", "byte_bpe_50k.json"])
+def test_tokens_by_a_vocabulary(spark, tmp_path, name):
+    path = Path("/opt/tokenizers") / name
+    if not path.exists():
+        pytest.skip("no vocabulary here")
+    spark.createDataFrame([("il treno parte", "i", ["a", "b"]), ("ciao", "j", ["b"]), (None, "k", None)], readers.CONSENSUS_SCHEMA).write.parquet(str(tmp_path / "in"))
+    cli.main(["tokens", str(tmp_path / "in"), str(tmp_path / "t.json"), "--tokenizer", str(path)], spark)
+    report = json.loads((tmp_path / "t.json").read_text())
+    by = {r["source"]: r["tokens"] for r in report["rows"]}
+    assert by["a"] > 3 and by["b"] > by["a"] and by["unknown"] == 0
+    assert report["_metadata"]["pairs"][0]["pair"] == "a|b"
+    assert report["_metadata"]["total"]["documents"] == 3

@@ -143,3 +143,12 @@ def test_filtered_text_is_stable(spark):
     """The line rules drop nothing more on a second run."""
     once = verdict(spark, body("it") + "\nMenu", PROFILES["it"])[1]
     assert verdict(spark, once, PROFILES["it"])[1] == once
+
+
+def test_own_rules_come_first(spark):
+    from dataclasses import replace
+
+    own = replace(PROFILES["it"], leading=((lambda s: F.contains(s, F.lit("vietato")), "own_rule"), (lambda s: F.length(s) > 10**6, "too_long")))
+    df = spark.createDataFrame([(1, "vietato"), (2, "corto"), (3, None)], "doc_id bigint, text string")
+    got = {r.doc_id: r.reject_reason for r in quality.annotate(df, own).collect()}
+    assert got == {1: "own_rule", 2: "too_short_chars", 3: "too_short_chars"}
