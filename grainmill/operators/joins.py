@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import write_step
+
 #: A key with more rows than this is joined apart from the others.
 HOT_ROWS = 100_000
 #: Keys of at most this number are broadcast as they are.
@@ -21,10 +23,10 @@ def join_unique(rows: DataFrame, unique: DataFrame, on: list[str], hot_rows: int
     """
     if n_rows is not None and n_rows <= hot_rows:
         return rows.join(unique, on, how)
-    hot = [tuple(r) for r in rows.dropna(subset=on).groupBy(*on).count().where(F.col("count") > hot_rows).select(*on).collect()]
-    if not hot:
+    hot, seen = write_step(rows.dropna(subset=on).groupBy(*on).count().where(F.col("count") > hot_rows).select(*on), "hot", n=F.count("*"))
+    if not seen["n"]:
         return rows.join(unique, on, how)
-    keys = F.broadcast(rows.sparkSession.createDataFrame(hot, rows.select(*on).schema))
+    keys = F.broadcast(hot)
     hot_rows_ = rows.join(keys, on, "left_semi").join(F.broadcast(unique.join(keys, on, "left_semi")), on, how)
     return rows.join(keys, on, "left_anti").join(unique, on, how).unionByName(hot_rows_)
 

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import materialize
 
 STANDARD = ["text", "id", "source"]
 #: Documents of a task that are looked up together.
 ADDRESS_BLOCK = 1024
+#: Parts a content's copies are dealt to before they meet.
+SALTS = 64
 
 
 def standardize(df: DataFrame, source: str | None = None) -> DataFrame:
@@ -28,17 +31,31 @@ def union_null_fill(*tables: DataFrame) -> DataFrame:
 
 
 def keep_first(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The first row of each content by a window; ``dedup.exact_dedup`` gives the same keys without sorting copies."""
+    """The first row of each content by a window; ``dedup.exact_dedup`` gives the same keys.
+
+    The window sees SALTS rows of a content at most, the firsts of its parts, however many copies it has.
+    """
     w = Window.partitionBy("id").orderBy(key)
     rows = df.where("text is not null").select(key, T.content(F.col("text")).alias("id"))
-    return rows.withColumn("n", F.row_number().over(w)).where("n = 1").select(key, T.short_id())
+    parts = rows.groupBy("id", F.pmod(F.xxhash64(key), F.lit(SALTS)).alias("part")).agg(F.min(key).alias(key))
+    return parts.withColumn("n", F.row_number().over(w)).where("n = 1").select(key, T.short_id())
 
 
 def cumulative_starts(files: DataFrame) -> DataFrame:
-    """``task_rank, filepath, num_rows, start``: where each file's rows begin among those of its task."""
+    """``task_rank, filepath, num_rows, start``: where each file's rows begin among those of its task.
+
+    The files are ordered over all tasks and cut into blocks of like size; a block starts at the sum of the blocks before
+    it, so the files of one large task are not added up in one place.
+    """
     rows = files.select("task_rank", "filepath", "num_rows").distinct()
-    w = Window.partitionBy("task_rank").orderBy("filepath").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("start", F.coalesce(F.sum("num_rows").over(w), F.lit(0)).cast("bigint"))
+    rows = materialize(rows.repartitionByRange("task_rank", "filepath").withColumn("block", F.spark_partition_id()), "blocks")
+    before = Window.partitionBy("task_rank").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy("task_rank", "block").agg(F.sum("num_rows").alias("sum")).select("task_rank", "block", F.sum("sum").over(before).alias("base"))  # a row by partition and task
+    inside = Window.partitionBy("task_rank", "block").orderBy("filepath").rowsBetween(Window.unboundedPreceding, -1)
+    start = lambda c: F.coalesce(c, F.lit(0))
+    own = rows.withColumn("own", F.sum("num_rows").over(inside)).alias("r")
+    met = own.join(blocks.alias("b"), F.expr("r.block = b.block and r.task_rank <=> b.task_rank"))
+    return met.select("r.task_rank", "filepath", "num_rows", (start(F.col("own")) + start(F.col("base"))).cast("bigint").alias("start"))
 
 
 def look_up(points: DataFrame, files: DataFrame) -> DataFrame:

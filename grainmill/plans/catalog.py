@@ -103,6 +103,26 @@ def _appended(t: DataFrame, path: str) -> None:
     writers.write_standard(t, path, source="again", mode="append")
 
 
+def _reported(t: DataFrame) -> DataFrame:
+    """A report file, read back."""
+    path = f"{fresh_path(t.sparkSession, 'report')}/tokens.json"
+    writers.json_report(tokens.token_count(t), path, table="documents")
+    return t.sparkSession.read.option("multiLine", "true").schema("rows array<struct<source: string, tokens: bigint, documents: bigint>>").json(path).select(F.inline("rows"))
+
+
+def _subsets(t: DataFrame) -> DataFrame:
+    """The folders that a table written by source has."""
+    path = fresh_path(t.sparkSession, "subsets")
+    t.select("doc_id", "source").write.partitionBy("source").parquet(path)
+    return t.sparkSession.createDataFrame([(n,) for n in readers.subsets(t.sparkSession, path)], "subset string")
+
+
+def _scored(t: DataFrame) -> DataFrame:
+    """All optional rules with a made-up score of the language."""
+    rows = t.select("doc_id", "text", (F.pmod(F.col("doc_id"), F.lit(100)) / 100.0).alias("lang_score"))
+    return quality.annotate(rows, PROFILES["it"].with_optional_rules()).select("doc_id", "reject_reason")
+
+
 def _rejected(t: DataFrame) -> DataFrame:
     """What the exclusion sink wrote."""
     path = fresh_path(t.sparkSession, "rejected")
@@ -186,6 +206,9 @@ def queries() -> dict[str, Query]:
         "q_source_intersect": _docs(lambda t: overlap.source_intersect(t, "hplt2", "culturax")),
         "q_source_except": _docs(lambda t: overlap.source_except(t, "hplt2", "culturax")),
         "q_token_count": _docs(tokens.token_count),
+        "q_json_report": _docs(_reported),
+        "q_subsets": _docs(_subsets),
+        "q_quality_lang_score": _docs(_scored),
         "q_token_totals": _docs(tokens.totals),
         "q_tokens_by_source": _consensus(tokens.tokens_by_source),
         "q_pairwise_tokens": _consensus(tokens.pairwise_tokens),

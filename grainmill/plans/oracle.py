@@ -241,6 +241,8 @@ def sql() -> dict[str, str]:
         "q_json_chunks": "SELECT text FROM documents WHERE text <> ''",
         "q_flagship": _yields(),
         "q_quality_optional_it": quality(PROFILES["it"].with_optional_rules()),
+        "q_quality_lang_score": f"SELECT doc_id, CASE WHEN reject_reason IS NULL AND (((doc_id % 100) + 100) % 100) / 100.0 < {PROFILES['it'].with_optional_rules().lang_score_threshold} THEN 'lang_score' ELSE reject_reason END AS reject_reason FROM ({quality(PROFILES['it'].with_optional_rules())})",
+        "q_subsets": "SELECT DISTINCT 'source=' || coalesce(nullif(source, ''), '__HIVE_DEFAULT_PARTITION__') AS subset FROM documents",
         "q_quality_letters_it": quality(replace(PROFILES["it"], min_specific_ratio=ITALIAN_LETTERS)),
         "q_rejected": f"SELECT doc_id, reject_reason FROM ({quality(PROFILES['it'])}) WHERE reject_reason IS NOT NULL",
         "q_stream_quality": f"SELECT doc_id, text, reject_reason, filtered_text FROM ({quality(PROFILES['it'])}) JOIN documents USING (doc_id)",
@@ -302,6 +304,7 @@ SELECT task, doc, source, filepath, doc - cumulative_start AS "row" FROM p JOIN
         "q_top_sources": "SELECT source, count(*) AS documents FROM documents WHERE source <> '' GROUP BY source ORDER BY documents DESC, source LIMIT 5",
     }
     out["p6_found"], out["p6_records"] = _record_keys(), _records()
+    out["q_json_report"] = out["q_token_count"]
     out["q_write_consensus"] = out["q_consensus_hash"].replace(" AS sources ", " AS source ")
     for k, p in PROFILES.items():
         out[f"q_quality_filter_{k}"] = quality(p)

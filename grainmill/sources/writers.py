@@ -74,10 +74,12 @@ def repack(df: DataFrame, path: str, max_bytes: int = MAX_FILE_BYTES) -> None:
 
 
 def json_report(df: DataFrame, path: str | Path, **metadata: object) -> None:
-    """A small result table as a JSON file."""
+    """A small result table as a JSON file, on any file system."""
     rows = [r.asDict(recursive=True) for r in df.collect()]
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps({"_metadata": metadata, "rows": rows}, ensure_ascii=False, indent=2, default=str), encoding="utf-8")
+    at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(str(path))
+    out = at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).create(at, True)
+    out.write(json.dumps({"_metadata": metadata, "rows": rows}, ensure_ascii=False, indent=2, default=str).encode())
+    out.close()
 
 
 def summary(df: DataFrame, by: str, keys: int = 1) -> str:
