@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import join_unique, semi_join_wide
-from ..session import materialize
+from ..session import drop_steps, materialize, write_step
 from .copies import field_digests, join_hot, letter_digests, same_records
 from .frames import fixed_binary, map_texts, named
 from .letters import U64, gram_hashes, gram_owner, letters, mix
@@ -39,6 +39,7 @@ LEAST = 0.6
 SURE_NO, SURE_YES, MANY = 0.38, 0.78, 4 * SIZE
 SHORT_NO, SHORT_YES = 0.15, 0.97
 BUCKET_ROWS = 1000
+_NO_ID = (1 << 63) - 1  # the head of records without an id
 _EMPTY = np.uint32(0xFFFFFFFF)
 _ROUNDS = 24
 
@@ -206,6 +207,7 @@ def similar_representatives(df: DataFrame, signed: DataFrame, reps: DataFrame, i
     pairs = materialize(block_join(prints), "candidates")
     both = join_unique(join_unique(pairs, a, ["a"]), b, ["b"]).withColumn("runs", F.least("runs_a", "runs_b"))
     shares = materialize(both.select("a", "b", "runs", "brief_a", "brief_b").mapInArrow(_share, "a bigint, b bigint, runs int, share double"), "shares")
+    drop_steps(prints, pairs)
     long = F.col("runs") >= MANY
     sure = shares.where(F.col("share") > F.when(long, SURE_YES).otherwise(SHORT_YES))
     open_ = shares.where((F.col("share") <= F.when(long, SURE_YES).otherwise(SHORT_YES)) & (F.col("share") >= F.when(long, SURE_NO).otherwise(SHORT_NO)))
@@ -220,10 +222,13 @@ def similar_representatives(df: DataFrame, signed: DataFrame, reps: DataFrame, i
 def _classes(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """``rec_id, member, keep_id`` of all records, and the similar pairs ``a, b`` of their representatives ``rec_id``."""
     signed = materialize(signatures(df, id_col, text_col), "signed")
-    sets = materialize(same_records(df, keys=signed).select("letters_key", "head", "keep_id", "copies"), "sets")
+    sets, classes = write_step(same_records(df, keys=signed).select("letters_key", "head", "keep_id", "copies"), "sets", n=F.count_if(F.col("head") < _NO_ID))
     met = join_hot(signed.where("rec_id is not null"), sets, "letters_key")
-    met = materialize(met.select("head", "rec_id", "keep_id", "runs", F.when(F.col("head") == F.col("rec_id"), F.col("print")).alias("print")), "classes")
-    reps = met.where("print is not null").select("rec_id", "runs", "print").dropDuplicates(["rec_id"])
+    met, rows = write_step(met.select("head", "rec_id", "keep_id", "runs", F.when(F.col("head") == F.col("rec_id"), F.col("print")).alias("print")), "classes", n=F.count("print"))
+    drop_steps(signed, sets)
+    reps = met.where("print is not null").select("rec_id", "runs", "print")
+    if rows["n"] != classes["n"]:  # rows repeated under one id
+        reps = reps.dropDuplicates(["rec_id"])
     return met.select(F.col("head").alias("rec_id"), F.col("rec_id").alias("member"), "keep_id").distinct(), similar_representatives(df, signed, reps, id_col, text_col)
 
 
