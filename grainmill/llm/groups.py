@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators.components import both_ways, propagate_minimum
 from ..operators.joins import join_unique
-from ..session import materialize, write_step
+from ..session import drop_steps, materialize, write_step
 from .frames import named
 
 #: Rows of a file that are joined together; a file of more rows is spread over more keys.
@@ -66,14 +66,17 @@ def components(edges: DataFrame) -> DataFrame:
     if not (n := seen["n"]):
         return edges.select(F.col("a").alias("v"), F.col("b").alias("label"))
     hub = both_ways(edges).groupBy("src").count().orderBy(F.desc("count"), "src").first().src
-    giant, left = edges.sparkSession.range(1).select(F.lit(hub).cast("bigint").alias("v")), 1
+    layers, left = [edges], 1
+    giant = edges.sparkSession.range(1).select(F.lit(hub).cast("bigint").alias("v"))
     for _ in range(LAYERS):
         giant = giant.unionAll(_neighbours(edges, hub))
         edges, seen = write_step(_contract(edges, n, hub), "rest", n=F.count("*"), left=F.count_if((F.col("a") == hub) | (F.col("b") == hub)))
         n, left = seen["n"], seen["left"]
+        layers.append(edges)
         if not left:
             break
     giant, seen = write_step(giant, "giant", least=F.min("v"))
+    drop_steps(*layers[:-1])
     least = seen["least"]
     if left:  # the giant goes on as its smallest vertex so far
         a, b = (F.when(F.col(x) == hub, F.lit(least).cast("bigint")).otherwise(F.col(x)) for x in "ab")
