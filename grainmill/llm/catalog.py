@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import budget, copies, encode, groups, leaks, near, oracle, prose, reading, repetition
 
@@ -24,7 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p1_documents_budget": lambda s, d: budget.token_budget(table(s, d, "documents")),
         "p2_found": lambda s, d: copies.copies_found(table(s, d, "standard_docs")),
         "p4_found": lambda s, d: groups.groups_found(*_matches(s, d)),
-        "p4_group_sources": lambda s, d: groups.group_sources(*_matches(s, d)),
+        "p4_group_sources": lambda s, d: groups.group_sources(*_matches(s, d)).withColumn("source", F.array_join("source", ",")),
         "p5_found": lambda s, d: prose.not_prose_found(table(s, d, "standard_docs")),
         "p5_classes": lambda s, d: prose.classify(table(s, d, "standard_docs")),
         "p7_found": lambda s, d: near.near_found(table(s, d, "standard_docs")),
@@ -32,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p7_members": lambda s, d: near.near_members(table(s, d, "standard_docs")),
         "p3_found": lambda s, d: repetition.repetition_found(table(s, d, "standard_docs")),
         "p3_repetition": lambda s, d: repetition.repetition(table(s, d, "standard_docs")),
+        "p3_shares": lambda s, d: repetition.repetition(table(s, d, "standard_docs")).select("rec_id", F.round("repeated_share", 6).alias("repeated_share")),
         "p8_ids": lambda s, d: encode.encode(table(s, d, "documents")),
         "p8_round_trip": lambda s, d: encode.round_trip(table(s, d, "documents")),
         "p9_found": lambda s, d: leaks.leaks_found(table(s, d, "documents"), table(s, d, "eval_items")),

