@@ -13,6 +13,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _written: list[str] = []
@@ -86,23 +87,48 @@ def drop_steps(*tables: DataFrame) -> None:
             _written.remove(path)
 
 
-#: A table of more bytes than this is never moved just to busy more cores.
+#: A table of at most so many bytes is dealt out to all cores before heavy work on each row.
 SMALL_TABLE = 32 << 20
+#: So is a table of so few row groups that no more than this share of the cores would work on it.
+BUSY_SHARE = 0.25
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Before heavy work on each row: deals a tiny table out to all cores.
+    """Before heavy work on each row: deals a table out to all cores if its scan can't be.
 
-    Spark already cuts files into splits for all cores, but not below a row group, so a table of one small file would be
-    worked on by one core. Only tables of at most SMALL_TABLE bytes are moved, whatever the cluster; larger ones never are.
+    Spark cuts files into splits for all cores, but not below a row group, so a table of one or two row groups would be
+    worked on by one or two cores. What is moved is SMALL_TABLE bytes, or for each core a fourth of a row group, at most;
+    a table of more row groups than a fourth of the cores, as any large one is, stays where it is.
     """
     plan = getattr(df, "_jdf", None)
     if df.isStreaming or plan is None:  # no plan to look at (remote session)
         return df
-    leaves = plan.queryExecution().optimizedPlan().collectLeaves()
-    if leaves.size() != 1 or int(str(leaves.apply(0).stats().sizeInBytes())) > SMALL_TABLE:
+    leaves, cores = plan.queryExecution().optimizedPlan().collectLeaves(), df.sparkSession.sparkContext.defaultParallelism
+    if leaves.size() != 1:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    size = int(str(leaves.apply(0).stats().sizeInBytes()))
+    if size <= SMALL_TABLE or (size <= (1 << 30) * cores and _row_groups(df, int(BUSY_SHARE * cores)) < BUSY_SHARE * cores):
+        return df.repartition(cores)
+    return df
+
+
+def _row_groups(df: DataFrame, enough: int) -> int:
+    """Row groups of the files of a table; as soon as there are enough, no further file is looked at."""
+    files, jvm, found = df.inputFiles(), df.sparkSession._jvm, 0
+    if not files or len(files) >= enough:
+        return max(enough, 1)
+    conf = df.sparkSession._jsc.hadoopConfiguration()
+    for name in files:
+        try:
+            at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+            reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(at, conf))
+        except Py4JJavaError:  # no Parquet file; it may be cut anywhere
+            return max(enough, 1)
+        found += reader.getRowGroups().size()
+        reader.close()
+        if found >= enough:
+            break
+    return found
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -91,6 +91,7 @@ def test_no_text_moves_with_the_near_duplicates(spark, tmp_path, monkeypatch):
 
     docs(spark, [(i, " ".join(words(i % 3, 30)), "a") for i in range(9)]).write.parquet(str(tmp_path / "t"))
     monkeypatch.setattr(session, "SMALL_TABLE", 0)
+    monkeypatch.setattr(session, "BUSY_SHARE", 0)
     monkeypatch.setattr(joins, "FEW_KEYS", 0)
     df = spark.read.parquet(str(tmp_path / "t"))
     assert "Exchange" not in dedup.signatures(df)._jdf.queryExecution().executedPlan().toString()

@@ -30,8 +30,18 @@ def test_only_tiny_tables_are_dealt_out(spark, tmp_path, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     assert session.spread(df).rdd.getNumPartitions() == cores
     assert session.spread(df.join(df.withColumnRenamed("id", "x"), df.id == 1)).columns == ["id", "x"]
+    moved = lambda t: "Exchange" in session.spread(t)._jdf.queryExecution().executedPlan().toString()
     monkeypatch.setattr(session, "SMALL_TABLE", 10)
-    assert "Exchange" not in session.spread(df)._jdf.queryExecution().executedPlan().toString()
+    assert moved(df)  # one row group for all cores
+    monkeypatch.setattr(session, "BUSY_SHARE", 1 / cores)
+    assert not moved(df)
+    monkeypatch.setattr(session, "BUSY_SHARE", 0.5)
+    spark.range(100).repartition(4).write.parquet(str(tmp_path / "u"))
+    assert not moved(spark.read.parquet(str(tmp_path / "u")))
+    spark.range(100).repartition(3).write.parquet(str(tmp_path / "v"))
+    assert moved(spark.read.parquet(str(tmp_path / "v")))
+    spark.range(100).selectExpr("cast(id as string)").coalesce(1).write.text(str(tmp_path / "w"))
+    assert not moved(spark.read.text(str(tmp_path / "w")))
 
 
 def test_a_cluster_needs_a_shared_folder(monkeypatch):
