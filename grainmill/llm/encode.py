@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,12 +133,14 @@ def _table(numbers: list[np.ndarray], data: list[pa.Array]) -> tuple[np.ndarray,
     """First place and count of the ids of each position, and all ids."""
     if not numbers:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.int32),)
-    order = np.concatenate(numbers)
-    raw = [x for a in data for x in a.to_pylist()]
-    sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+    order, flat = np.concatenate(numbers), pa.concat_arrays(data)
+    _, offsets, raw = flat.buffers()
+    ends = np.frombuffer(offsets, np.int32)[: len(flat) + 1].astype(np.int64)
+    sizes = np.diff(ends) // 4
     first, count = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
     first[order], count[order] = np.cumsum(sizes) - sizes, sizes
-    return first, count, np.frombuffer(b"".join(raw), np.int32)
+    ids = np.frombuffer(raw, np.uint8)[ends[0] : ends[-1]].view(np.int32) if raw is not None else np.zeros(0, np.int32)
+    return first, count, ids
 
 
 def _texts(batch: pa.RecordBatch, first: np.ndarray, count: np.ndarray, ids: np.ndarray, at_once: int = 500) -> Iterator[pa.RecordBatch]:
@@ -157,16 +160,26 @@ def _texts(batch: pa.RecordBatch, first: np.ndarray, count: np.ndarray, ids: np.
 
 
 def decode(coded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", ranks_path: str = f"{TOKENIZERS}/byte_bpe_50k.tiktoken") -> DataFrame:
-    """``doc_id, text`` from lists of ids, by a join with the broadcast table of token bytes (of fixed size)."""
+    """``doc_id, text`` from lists of ids, by a join with the broadcast table of token bytes (of fixed size), a batch at once."""
     ranks = read_ranks(ranks_path)
-    table = [b""] * (max(ranks.values()) + 1)
+    tokens = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
-        table[rank] = token
-    shared = coded.sparkSession.sparkContext.broadcast(table)
+        tokens[rank] = token
+    sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    shared = coded.sparkSession.sparkContext.broadcast((sizes, np.frombuffer(b"".join(tokens), np.uint8)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes, raw = shared.value
+        first = np.cumsum(sizes) - sizes
         for batch in batches:
-            texts = [b"".join([shared.value[i] for i in ids or ()]).decode("utf-8", "replace") for ids in batch.column("ids").to_pylist()]
+            lists = batch.column("ids")
+            number = np.diff(np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
+            ids = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            long = sizes[ids] if len(ids) else np.zeros(0, np.int64)
+            at = np.r_[0, np.cumsum(long)]
+            data = raw[np.repeat(first[ids] - at[:-1], long) + np.arange(at[-1])].tobytes() if len(ids) else b""
+            ends = at[np.r_[0, np.cumsum(number)]].tolist()
+            texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return named(coded, doc_id=id_col, ids=ids_col).mapInArrow(run, "doc_id bigint, text string")

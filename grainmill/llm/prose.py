@@ -13,6 +13,7 @@ result each (one in the listing); ties between components go to the first; other
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,6 +85,7 @@ class Mixture:
         self.covs = np.repeat(np.eye(len(centre))[None], len(means), axis=0)
         self.weights = np.full(len(means), 1 / len(means))
         self.classes = np.zeros(len(means), np.int64)
+        self.settled = False
 
     def standard(self, x: np.ndarray) -> np.ndarray:
         return (x - self.centre) / self.scale
@@ -153,8 +155,11 @@ def fit(table: DataFrame) -> Mixture | None:
         model.weights = np.maximum(weight, 1e-6) / np.maximum(weight, 1e-6).sum()
         shared.unpersist()
         if abs(log - last) < SETTLED:
+            model.settled = True
             break
         last = log
+    if not model.settled:
+        warnings.warn(f"the mixture still moved after {ROUNDS} rounds", stacklevel=2)
     _name(model, seeds)
     return model
 
