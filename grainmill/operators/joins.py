@@ -13,6 +13,7 @@ HOT_ROWS = 100_000
 FEW_KEYS = 100_000
 #: Bits of a key map for each key, and of the largest map (4 M words of 64 bits).
 BITS_PER_KEY, MOST_BITS = 16, 1 << 28
+MAYBE = "__maybe"
 
 
 def join_unique(rows: DataFrame, unique: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, n_rows: int | None = None, how: str = "inner") -> DataFrame:
@@ -36,7 +37,7 @@ def _place(on: list[str], bits: int) -> Column:
 
 
 def _marked(rows: DataFrame, keys: DataFrame, on: list[str], n: int) -> DataFrame:
-    """Adds ``maybe``: false for rows whose key is not among the keys, true for all others and few besides.
+    """Adds MAYBE: false for rows whose key is not among the keys, true for all others and few besides.
 
     The map of the keys' bits is broadcast as words, so its size is bound; above its bound more rows than needed are true.
     """
@@ -44,13 +45,16 @@ def _marked(rows: DataFrame, keys: DataFrame, on: list[str], n: int) -> DataFram
     while bits < min(BITS_PER_KEY * n, MOST_BITS):
         bits *= 2
     at = _place(on, bits)
-    words = keys.dropna(subset=on).select(at.alias("place")).select(F.shiftright("place", 6).alias("word_at"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bit"))
-    words = words.groupBy("word_at").agg(F.bit_or("bit").alias("word"))
+    words = keys.dropna(subset=on).select(at.alias("place")).select(F.shiftright("place", 6).alias("map_at"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bit"))
+    words = words.groupBy("map_at").agg(F.bit_or("bit").alias("map_word"))
     some = F.lit(True)
     for c in on:
         some = some & F.col(c).isNotNull()
-    met = rows.withColumn("place", F.when(some, at)).withColumn("word_at", F.shiftright("place", 6)).join(F.broadcast(words), "word_at", "left")
-    return met.withColumn("maybe", F.coalesce(F.expr("shiftright(word, cast(place & 63 as int)) & 1L = 1L"), F.lit(False))).drop("word_at", "word", "place")
+    # names that no column of the rows has
+    place, word_at, word = "__map_place", "__map_at", "__map_word"
+    met = rows.withColumn(place, F.when(some, at)).withColumn(word_at, F.shiftright(place, 6)).join(F.broadcast(words.select(F.col("map_at").alias(word_at), F.col("map_word").alias(word))), word_at, "left")
+    hit = F.expr(f"shiftright({word}, cast({place} & 63 as int)) & 1L = 1L")
+    return met.withColumn(MAYBE, F.coalesce(hit, F.lit(False))).drop(word_at, word, place)
 
 
 def semi_join_wide(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
@@ -58,7 +62,7 @@ def semi_join_wide(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame
     n = keys.count()
     if n <= FEW_KEYS:
         return rows.join(F.broadcast(keys), on, "left_semi")
-    return _marked(rows, keys, on, n).where("maybe").drop("maybe").join(keys, on, "left_semi")
+    return _marked(rows, keys, on, n).where(MAYBE).drop(MAYBE).join(keys, on, "left_semi")
 
 
 def anti_join_wide(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
@@ -67,7 +71,7 @@ def anti_join_wide(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame
     if n <= FEW_KEYS:
         return rows.join(F.broadcast(keys), on, "left_anti")
     marked = _marked(rows, keys, on, n)
-    return marked.where("not maybe").drop("maybe").unionByName(marked.where("maybe").drop("maybe").join(keys, on, "left_anti"))
+    return marked.where(f"not {MAYBE}").drop(MAYBE).unionByName(marked.where(MAYBE).drop(MAYBE).join(keys, on, "left_anti"))
 
 
 def left_join_wide(rows: DataFrame, unique: DataFrame, on: list[str]) -> DataFrame:
@@ -76,4 +80,4 @@ def left_join_wide(rows: DataFrame, unique: DataFrame, on: list[str]) -> DataFra
     if n <= FEW_KEYS:
         return rows.join(F.broadcast(unique), on, "left")
     marked = _marked(rows, unique.select(*on), on, n)
-    return marked.where("maybe").drop("maybe").join(unique, on, "left").unionByName(marked.where("not maybe").drop("maybe"), allowMissingColumns=True)
+    return marked.where(MAYBE).drop(MAYBE).join(unique, on, "left").unionByName(marked.where(f"not {MAYBE}").drop(MAYBE), allowMissingColumns=True)

@@ -70,7 +70,7 @@ def test_wide_rows_and_lists_of_keys(spark, monkeypatch, few):
     from grainmill.operators import joins
 
     monkeypatch.setattr(joins, "FEW_KEYS", few)
-    rows = spark.createDataFrame([(i % 50 if i % 7 else None, f"t{i}") for i in range(200)], "k bigint, text string")
+    rows = spark.createDataFrame([(i % 50 if i % 7 else None, f"t{i}") for i in range(200)], "k bigint, text string").selectExpr("*", "1 as place", "2 as word", "3 as maybe", "4 as bit")
     keys = spark.createDataFrame([(k,) for k in (0, 3, 3, 49, 77, None)], "k bigint")
     got = lambda df: sorted((-1 if r.k is None else r.k, r.text) for r in df.select("k", "text").collect())
     every = got(rows)
