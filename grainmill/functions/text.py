@@ -36,8 +36,8 @@ def word_count(s: Column) -> Column:
 
 
 def has_word_longer_than(s: Column, n: int) -> Column:
-    """Tried at word starts only, so linear in the text."""
-    return s.rlike(f"(?:^|[^{SOLID}])[{SOLID}]{{{n + 1}}}")
+    """Tried at word starts only, so linear in the text; most lines are too short to hold such a word."""
+    return (F.length(s) > n) & s.rlike(f"(?:^|[^{SOLID}])[{SOLID}]{{{n + 1}}}")
 
 
 def has_words(s: Column, n: int) -> Column:
@@ -65,7 +65,8 @@ def letter_count(s: Column) -> Column:
 
 
 def class_count(s: Column, char_class: str) -> Column:
-    return F.regexp_count(s, F.lit(f"[{char_class}]"))
+    """Characters of a class; they are taken out by runs, not found one by one."""
+    return F.length(s) - F.length(F.regexp_replace(s, f"[{char_class}]++", ""))
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -22,9 +22,8 @@ from ..session import spread
 LINE_REASONS = ["line_long_word", "line_javascript", "line_policy", "line_too_few_words"]
 
 
-def _document_reason(p: LanguageProfile, s: Column) -> Column:
-    """Rules on the raw text."""
-    alpha = T.letter_count(s)
+def _document_reason(p: LanguageProfile, s: Column, alpha: Column) -> Column:
+    """Rules on the raw text, which has ``alpha`` letters."""
     rules: list[tuple[Column, str]] = [(test(s), reason) for test, reason in p.leading]
     if p.specific and p.min_specific_ratio:
         rules.append((T.ratio(T.class_count(s, p.specific), alpha) < p.min_specific_ratio, p.low_specific_reason))
@@ -55,7 +54,7 @@ def _line_reason(p: LanguageProfile, line: Column) -> Column:
     if p.policy:
         rules.append((low.rlike(alternation(p.policy)), "line_policy"))
     if p.min_words_per_line > 0:
-        rules.append((~T.has_words(line, p.min_words_per_line) & ~T.ends_with_any(line, p.line_ends), "line_too_few_words"))
+        rules.append((~T.ends_with_any(line, p.line_ends) & ~T.has_words(line, p.min_words_per_line), "line_too_few_words"))
     return first_reason(rules)
 
 
@@ -79,62 +78,87 @@ class _Choice:
         return any(p.optional for p in own)
 
 
-def marked_lines(df: DataFrame, profile: LanguageProfile | dict[str, LanguageProfile], text_col: str = "text", deal: bool = True) -> DataFrame:
+def marked_lines(df: DataFrame, profile: LanguageProfile | dict[str, LanguageProfile], text_col: str = "text") -> DataFrame:
     """Adds ``q_reason`` of the raw text and, where it has none, ``q_lines`` with the reason each line is dropped."""
-    choose, s = _Choice(profile), F.coalesce(F.col(text_col), F.lit(""))
+    return _mark(spread(df), {"": _Choice(profile)}, text_col)
+
+
+def _mark(df: DataFrame, judges: dict[str, _Choice], text_col: str) -> DataFrame:
+    """``q_reason`` and ``q_lines`` of each judge, under names that end in its tag."""
+    s = F.coalesce(F.col(text_col), F.lit(""))
 
     def marked(p: LanguageProfile) -> Column:
         body = F.regexp_replace(s, p.citation.replace(r"\d", r"\p{Nd}"), "") if p.citation else s
         return F.transform(T.lines(body), lambda x: F.struct(x.alias("line"), _line_reason(p, x).alias("reason")))
 
-    df = bind(spread(df) if deal else df, q_reason=choose(lambda p: _document_reason(p, s), F.lit("no_profile")))
-    return bind(df, q_lines=F.when(F.col("q_reason").isNull(), choose(marked)))
+    df = bind(df, q_alpha=T.letter_count(s))  # asked for by several rules
+    df = bind(df, **{f"q_reason{tag}": choose(lambda p: _document_reason(p, s, F.col("q_alpha")), F.lit("no_profile")) for tag, choose in judges.items()})
+    return bind(df, **{f"q_lines{tag}": F.when(F.col(f"q_reason{tag}").isNull(), choose(marked)) for tag, choose in judges.items()})
 
 
-def annotate(df: DataFrame, profile: LanguageProfile | dict[str, LanguageProfile], text_col: str = "text", deal: bool = True) -> DataFrame:
+def annotate(df: DataFrame, profile: LanguageProfile | dict[str, LanguageProfile], text_col: str = "text") -> DataFrame:
     """Adds ``reject_reason`` (null: kept) and ``filtered_text`` (null: rejected)."""
-    choose, names = _Choice(profile), [c for c in df.columns if c != "q_lang"]
-    df = bind(marked_lines(df, profile, text_col, deal), q_kept=F.transform(F.filter("q_lines", lambda x: x.reason.isNull()), lambda x: x.line))
-    kept, s = F.col("q_kept"), F.col("q_text")
-    df = bind(
-        df,
-        q_n=F.size(kept),
-        q_words=T.word_count(F.array_join(kept, "\n")),
-        q_ended=choose(lambda p: F.size(F.filter(kept, lambda x: T.ends_with_any(x, p.line_ends)))),
-        q_short=choose(lambda p: F.size(F.filter(kept, lambda x: F.length(x) <= p.short_line_length))),
-        q_bullets=F.size(F.filter(kept, T.starts_with_bullet)),
-        q_chars=T.total_length(kept),
-        q_repeats=T.duplicate_chars(kept),
-        q_text=F.array_join(kept, "\n"),
-    )
-    if choose.optional:
-        df = bind(df, q_list=T.words(s))
-    df = bind(df, reject_reason=F.coalesce("q_reason", choose(lambda p: first_reason(_text_rules(p, df)))))
-    return df.select(*names, "reject_reason", F.when(F.col("reject_reason").isNull(), s).alias("filtered_text"))
-
-
-def _text_rules(p: LanguageProfile, df: DataFrame) -> list[tuple[Column, str]]:
+    names = [c for c in df.columns if c != "q_lang"]
+    df = _judge(spread(df), {"": _Choice(profile)}, text_col)
+    return df.select(*names, F.col("q_verdict").alias("reject_reason"), F.when(F.col("q_verdict").isNull(), F.col("q_text")).alias("filtered_text"))
+
+
+def _judge(df: DataFrame, judges: dict[str, _Choice], text_col: str) -> DataFrame:
+    """``q_text``, the kept lines, and ``q_verdict``, the first rule that fails, of each judge: every value is bound once
+    for all of them, so a row is copied as often for five judges as for one."""
+    df = _mark(df, judges, text_col)
+    df = bind(df, **{f"q_kept{tag}": F.transform(F.filter(f"q_lines{tag}", lambda x: x.reason.isNull()), lambda x: x.line) for tag in judges})
+    made: dict[str, Column] = {}
+    for tag, choose in judges.items():
+        made |= _measures(choose, F.col(f"q_kept{tag}"), tag)
+    df = bind(df, **made)
+    if lists := {f"q_list{tag}": T.words(F.col(f"q_text{tag}")) for tag, choose in judges.items() if choose.optional}:
+        df = bind(df, **lists)
+    scored = "lang_score" in df.columns
+    return bind(df, **{f"q_verdict{tag}": F.coalesce(f"q_reason{tag}", choose(_rules_of(tag, scored))) for tag, choose in judges.items()})
+
+
+def _measures(choose: _Choice, kept: Column, tag: str) -> dict[str, Column]:
+    made = {
+        "q_n": F.size(kept),
+        "q_words": T.word_count(F.array_join(kept, "\n")),
+        "q_ended": choose(lambda p: F.size(F.filter(kept, lambda x: T.ends_with_any(x, p.line_ends)))),
+        "q_short": choose(lambda p: F.size(F.filter(kept, lambda x: F.length(x) <= p.short_line_length))),
+        "q_bullets": F.size(F.filter(kept, T.starts_with_bullet)),
+        "q_chars": T.total_length(kept),
+        "q_repeats": T.duplicate_chars(kept),
+        "q_text": F.array_join(kept, "\n"),
+    }
+    return {f"{n}{tag}": c for n, c in made.items()}
+
+
+def _rules_of(tag: str, scored: bool) -> Callable[[LanguageProfile], Column]:
+    return lambda p: first_reason(_text_rules(p, tag) + _optional_rules(p, tag, scored))
+
+
+def _text_rules(p: LanguageProfile, tag: str) -> list[tuple[Column, str]]:
     """Rules on the kept lines, in order."""
-    n, r, s = F.col("q_n"), T.ratio, F.col("q_text")
-    low_ends = r(F.col("q_ended"), n) < p.line_punct_thr
+    col = lambda n: F.col(f"q_{n}{tag}")
+    n, r, s = col("n"), T.ratio, col("text")
+    low_ends = r(col("ended"), n) < p.line_punct_thr
     rules = [
         (n == 0, "empty"),
-        (F.col("q_words") < p.min_doc_words, "too_few_words"),
-        (low_ends & (F.col("q_ended") > 0) if p.line_punct_exclude_zero else low_ends, "line_punct_ratio"),
-        (r(F.col("q_short"), n) > p.short_line_thr, "short_line_ratio"),
-        (r(F.col("q_bullets"), n) > p.max_bullet_ratio, "bullet_ratio"),
-        (r(n - 1, F.col("q_words")) > p.new_line_ratio, "list_ratio"),
-        (r(F.col("q_repeats"), F.col("q_chars")) > p.char_duplicates_ratio, "char_dup_ratio"),
+        (col("words") < p.min_doc_words, "too_few_words"),
+        (low_ends & (col("ended") > 0) if p.line_punct_exclude_zero else low_ends, "line_punct_ratio"),
+        (r(col("short"), n) > p.short_line_thr, "short_line_ratio"),
+        (r(col("bullets"), n) > p.max_bullet_ratio, "bullet_ratio"),
+        (r(n - 1, col("words")) > p.new_line_ratio, "list_ratio"),
+        (r(col("repeats"), col("chars")) > p.char_duplicates_ratio, "char_dup_ratio"),
     ]
     if p.filter_repetition:
         runs = T.has_char_run(s, p.max_char_repetition)
         rules.append((runs | s.rlike(p.laughter) if p.laughter else runs, "excessive_repetition"))
-    return rules + _optional_rules(p, df)
+    return rules
 
 
-def _optional_rules(p: LanguageProfile, df: DataFrame) -> list[tuple[Column, str]]:
+def _optional_rules(p: LanguageProfile, tag: str, scored: bool) -> list[tuple[Column, str]]:
     """Rules that are off unless the profile gives their thresholds."""
-    rules, kept, w = [], F.col("q_kept"), F.col("q_list")
+    rules, kept, w = [], F.col(f"q_kept{tag}"), F.col(f"q_list{tag}")
     if not p.optional:
         return rules
     mean = T.ratio(F.aggregate(w, F.lit(0), lambda a, x: a + F.length(x)), F.size(w))
@@ -146,11 +170,11 @@ def _optional_rules(p: LanguageProfile, df: DataFrame) -> list[tuple[Column, str
         rules.append((T.ratio(F.size(kept) - F.size(F.array_distinct(kept)), F.size(kept)) > p.dup_line_frac, "dup_line_frac"))
     for n, limit in ((5, p.top_5_gram_frac), (10, p.top_10_gram_frac)):
         if limit is not None:
-            rules.append((top_ngram_share(w, F.length("q_text"), n) > limit, f"top_{n}_gram_frac"))
+            rules.append((top_ngram_share(w, F.length(f"q_text{tag}"), n) > limit, f"top_{n}_gram_frac"))
     if p.non_alpha_words_ratio is not None:
         with_letter = F.size(F.filter(w, lambda x: x.rlike(r"\p{L}")))
         rules.append((T.ratio(with_letter, F.size(w)) < p.non_alpha_words_ratio, "non_alpha_words"))
-    if p.lang_score_threshold is not None and "lang_score" in df.columns:
+    if p.lang_score_threshold is not None and scored:
         rules.append((F.col("lang_score") < p.lang_score_threshold, "lang_score"))
     return rules
 
@@ -197,12 +221,14 @@ def line_drop_histogram(df: DataFrame, profile: LanguageProfile, text_col: str =
     return line_drop_histograms(df, {profile.code: profile}, text_col).drop("profile")
 
 
+def _judges(profiles: dict[str, LanguageProfile]) -> dict[str, _Choice]:
+    return {f"_{code}": _Choice(p) for code, p in profiles.items()}
+
+
 def reason_histograms(df: DataFrame, profiles: dict[str, LanguageProfile], text_col: str = "text") -> DataFrame:
-    """``profile, reason, documents`` of all profiles from one scan: each row is judged by every profile in turn."""
-    rows = spread(df.select(F.col(text_col).alias("text")))
-    for code, p in profiles.items():
-        rows = annotate(rows, p, deal=False).drop("filtered_text").withColumnRenamed("reject_reason", f"by_{code}")
-    made = F.array(*(F.struct(F.lit(code).alias("profile"), F.coalesce(f"by_{code}", F.lit("kept")).alias("reason")) for code in profiles))
+    """``profile, reason, documents`` of all profiles from one scan."""
+    rows = _judge(spread(df.select(F.col(text_col).alias("text"))), _judges(profiles), "text")
+    made = F.array(*(F.struct(F.lit(code).alias("profile"), F.coalesce(f"q_verdict_{code}", F.lit("kept")).alias("reason")) for code in profiles))
     return rows.select(F.inline(made)).groupBy("profile", "reason").agg(F.count("*").alias("documents"))
 
 
@@ -212,9 +238,6 @@ def _line_of(code: str) -> Callable[[Column], Column]:
 
 def line_drop_histograms(df: DataFrame, profiles: dict[str, LanguageProfile], text_col: str = "text") -> DataFrame:
     """``profile, reason, lines`` of all profiles from one scan."""
-    rows = spread(df.select(F.col(text_col).alias("text")))
-    for code, p in profiles.items():
-        made = F.transform("q_lines.reason", _line_of(code))
-        rows = marked_lines(rows, p, deal=False).withColumn(f"by_{code}", made).drop("q_reason", "q_lines")
-    every = F.flatten(F.array(*(F.coalesce(f"by_{code}", F.array().cast("array<struct<profile:string,reason:string>>")) for code in profiles)))
+    rows, none = _mark(spread(df.select(F.col(text_col).alias("text"))), _judges(profiles), "text"), F.array().cast("array<struct<profile:string,reason:string>>")
+    every = F.flatten(F.array(*(F.coalesce(F.transform(f"q_lines_{code}.reason", _line_of(code)), none) for code in profiles)))
     return rows.select(F.inline(every)).groupBy("profile", "reason").agg(F.count("*").alias("lines"))
