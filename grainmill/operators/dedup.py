@@ -1,7 +1,8 @@
 """Exact, near and sentence-level duplicates.
 
 Near duplicates are MinHash-LSH: ``BANDS`` bands of ``ROWS`` minima over hashed word shingles; sharing a band is the
-verdict, there is no further check. Hashes come from md5 so that any SQL engine can reproduce them. A text is signed
+verdict, there is no further check. A word's hash comes from its md5 and a shingle's is a sum of its words' with factors, so
+any SQL engine can reproduce them and a batch's distinct words are hashed once. A text is signed
 within its row, in one pass over the texts; what is shuffled afterwards are keys and 16-byte digests.
 """
 
@@ -13,6 +14,7 @@ from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,9 +53,9 @@ def shingles(df: DataFrame, key: str = "doc_id", text_col: str = "text") -> Data
 _AT_ONCE = 400_000
 
 
-def _shingle_hashes(w: list[str]) -> bytes:
-    """The first four bytes of the md5 of every shingle, end to end."""
-    return b"".join([md5(" ".join(w[i : i + SHINGLE]).encode()).digest()[:4] for i in range(len(w) - SHINGLE + 1)])
+def shingle_factors() -> list[int]:
+    """What the hashes of a shingle's words are multiplied by before they are added up."""
+    return [a for a, _ in permutations(SHINGLE, seed=2)]
 
 
 def _minima(h: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -64,26 +66,36 @@ def _minima(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    """31 bits of the md5 of each word; a batch's distinct words are hashed once."""
+    coded = words.dictionary_encode()
+    own = np.frombuffer(b"".join([md5(w.encode()).digest()[:4] for w in coded.dictionary.to_pylist()]), ">u4").astype(np.int64) & PRIME
+    return own[coded.indices.to_numpy(zero_copy_only=False)] if len(own) else np.zeros(0, np.int64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replaces the words ``w`` by the ``signature``, null for fewer words than SHINGLE."""
     for batch in batches:
-        lists = batch.column("w").to_pylist()
-        made, start = np.zeros((len(lists), BANDS * ROWS), np.int64), 0
-        some = np.array([w is not None and len(w) >= SHINGLE for w in lists], bool)
-        rows = np.flatnonzero(some).tolist()
-        while start < len(rows):
-            end, total, parts = start, 0, []
-            while end < len(rows) and total < _AT_ONCE:
-                parts.append(_shingle_hashes(lists[rows[end]]))
-                total += len(parts[-1]) // 4
-                end += 1
-            h = np.frombuffer(b"".join(parts), ">u4").astype(np.int64) & PRIME
-            made[rows[start:end]] = _minima(h, np.cumsum([0, *(len(p) // 4 for p in parts[:-1])]))
-            start = end
+        lists = batch.column("w")
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        h, first = _word_hashes(lists.flatten()), np.cumsum(sizes) - sizes
+        shingles = np.zeros(max(0, len(h) - SHINGLE + 1), np.int64)  # also across texts; those are never looked at
+        for k, factor in enumerate(shingle_factors()):
+            shingles += h[k : k + len(shingles)] * factor % PRIME
+        shingles %= PRIME
+        some = sizes >= SHINGLE
+        begin, number = first[some], sizes[some] - SHINGLE + 1
+        made = np.zeros((len(begin), BANDS * ROWS), np.int64)
+        group = (np.cumsum(number) - number) // _AT_ONCE  # texts that are worked on together
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(begin)]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                at = np.cumsum(number[a:b]) - number[a:b]
+                made[a:b] = _minima(shingles[np.repeat(begin[a:b] - at, number[a:b]) + np.arange(number[a:b].sum())], at)
         ends = np.r_[0, np.cumsum(np.where(some, BANDS * ROWS, 0))].astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(made[some].ravel()), mask=pa.array(~some))
+        signature = pa.ListArray.from_arrays(pa.array(ends), pa.array(made.ravel()), mask=pa.array(~some))
         rest = [n for n in batch.schema.names if n != "w"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in rest), lists], [*rest, "signature"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in rest), signature], [*rest, "signature"])
 
 
 def signed(df: DataFrame, key: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:

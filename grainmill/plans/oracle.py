@@ -160,7 +160,8 @@ def _shingled(where: str = "text IS NOT NULL", table: str = "documents") -> str:
     n = dedup.SHINGLE
     return f"""w AS (SELECT doc_id AS doc, {words(low('text'))} AS w FROM {table} WHERE {where}),
 s AS (SELECT doc, unnest(list_distinct(list_transform(range(1, greatest(len(w) - {n - 2}, 1)), lambda i: array_to_string(w[i:i + {n - 1}], ' ')))) AS s FROM w WHERE len(w) >= {n}),
-h AS (SELECT doc, ('0x' || substr(md5(s), 1, 8))::BIGINT & {dedup.PRIME} AS h FROM s),
+hw AS (SELECT doc, list_transform(w, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT & {dedup.PRIME}) AS hw FROM w WHERE len(w) >= {n}),
+h AS (SELECT doc, unnest(list_distinct(list_transform(range(1, len(hw) - {n - 2}), lambda i: ({' + '.join(f'hw[i + {k}] * {a} % {dedup.PRIME}' for k, a in enumerate(dedup.shingle_factors()))}) % {dedup.PRIME}))) AS h FROM hw),
 sig AS (SELECT doc, [{', '.join(f'min((h * {a} + {b}) % {dedup.PRIME})' for a, b in dedup.permutations())}] AS g FROM h GROUP BY doc),
 band AS (SELECT doc, b AS band, md5(array_to_string(list_transform(g[b * {dedup.ROWS} + 1:b * {dedup.ROWS} + {dedup.ROWS}], lambda x: x::VARCHAR), ',')) AS bucket FROM sig, range({dedup.BANDS}) AS r(b))"""
 
