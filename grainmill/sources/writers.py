@@ -77,7 +77,7 @@ def json_report(df: DataFrame, path: str | Path, **metadata: object) -> None:
     """A small result table as a JSON file, on any file system."""
     rows = [r.asDict(recursive=True) for r in df.collect()]
     at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(str(path))
-    out = at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).create(at, True)
+    out = snapshots.file_system(df.sparkSession, str(path)).create(at, True)
     out.write(json.dumps({"_metadata": metadata, "rows": rows}, ensure_ascii=False, indent=2, default=str).encode())
     out.close()
 
