@@ -8,6 +8,7 @@ an RDD checkpoint it stays columnar, so later readers prune columns and push fil
 from __future__ import annotations
 
 import atexit
+import math
 import shutil
 import tempfile
 import uuid
@@ -107,7 +108,7 @@ def spread(df: DataFrame) -> DataFrame:
     if leaves.size() != 1:
         return df
     size = int(str(leaves.apply(0).stats().sizeInBytes()))
-    if size <= SMALL_TABLE or (size <= (1 << 30) * cores and _row_groups(df, int(BUSY_SHARE * cores)) < BUSY_SHARE * cores):
+    if size <= SMALL_TABLE or (size <= (1 << 30) * cores and _row_groups(df, math.ceil(BUSY_SHARE * cores)) < BUSY_SHARE * cores):
         return df.repartition(cores)
     return df
 
@@ -116,14 +117,14 @@ def _row_groups(df: DataFrame, enough: int) -> int:
     """Row groups of the files of a table; as soon as there are enough, no further file is looked at."""
     files, jvm, found = df.inputFiles(), df.sparkSession._jvm, 0
     if not files or len(files) >= enough:
-        return max(enough, 1)
+        return enough
     conf = df.sparkSession._jsc.hadoopConfiguration()
     for name in files:
         try:
             at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
             reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(at, conf))
         except Py4JJavaError:  # no Parquet file; it may be cut anywhere
-            return max(enough, 1)
+            return enough
         found += reader.getRowGroups().size()
         reader.close()
         if found >= enough:

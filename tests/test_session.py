@@ -35,6 +35,10 @@ def test_only_tiny_tables_are_dealt_out(spark, tmp_path, monkeypatch):
     assert moved(df)  # one row group for all cores
     monkeypatch.setattr(session, "BUSY_SHARE", 1 / cores)
     assert not moved(df)
+    monkeypatch.setattr(session, "BUSY_SHARE", 1.5 / cores)  # 6 cores at a fourth: two row groups are enough
+    assert moved(df)
+    spark.range(100).repartition(2).write.parquet(str(tmp_path / "two"))
+    assert not moved(spark.read.parquet(str(tmp_path / "two")))
     monkeypatch.setattr(session, "BUSY_SHARE", 0.5)
     spark.range(100).repartition(4).write.parquet(str(tmp_path / "u"))
     assert not moved(spark.read.parquet(str(tmp_path / "u")))
