@@ -30,7 +30,7 @@ from ..session import materialize, spread, write_step
 from .frames import lang_code, map_texts, named
 from .letters import slices
 from .prose import learned_words
-from .stats import COMMA, DIGIT, END, NAMES, SIGN, THAI, WORD, Parsed, _part, among, connective_hashes, run_hashes, statistics
+from .stats import COMMA, DIGIT, END, SIGN, THAI, WORD, Parsed, _part, among, connective_hashes, prose_shares, run_hashes
 
 #: The rarity of all words no more frequent than one in 2**RARE_BITS; the table has 16 bytes for each of the others.
 RARE_BITS = 20
@@ -199,8 +199,8 @@ def measured(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     def work(rest: dict, texts: list) -> dict:
         p = Parsed(texts, more)
         made = features(p, shared.value)
-        stats = statistics(p)
-        prose = (stats[:, NAMES.index("prose_share")] >= PROSE_LEAST) & (stats[:, NAMES.index("common_share")] > 0) & (misdecoded(p) == 0)
+        common_share, prose_share = prose_shares(p)
+        prose = (prose_share >= PROSE_LEAST) & (common_share > 0) & (misdecoded(p) == 0)
         lang = np.array(rest["lang"].to_pylist(), object)
         for low, high, name in ((0x0600, 0x077F, "ar"), (0x0900, 0x097F, "hi"), (*THAI, "th")):
             lang[_part(p.per_text((p.raw >= low) & (p.raw <= high)), p.per_text((p.kind != 0) & (p.kind != SIGN))) > 0.5] = name

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -87,11 +87,29 @@ class Parsed:
         self.low = lower_table()[raw]
         self.first = np.zeros(len(raw) + 1, bool)
         self.first[self.ends] = True
-        self.word_start, self.word_end = self.runs(self.kind == WORD)
-        self.token_start, self.token_end = self.runs(self.kind != BLANK)
-        self.word_text = self.owner(self.word_start)
-        self.token_text = self.owner(self.token_start)
-        self.word_hash = run_hashes(self.low, self.word_start, self.word_end)
+
+    @cached_property
+    def _words(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.runs(self.kind == WORD)
+
+    @cached_property
+    def _tokens(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.runs(self.kind != BLANK)
+
+    word_start, word_end = property(lambda self: self._words[0]), property(lambda self: self._words[1])
+    token_start, token_end = property(lambda self: self._tokens[0]), property(lambda self: self._tokens[1])
+
+    @cached_property
+    def word_text(self) -> np.ndarray:
+        return self.owner(self.word_start)
+
+    @cached_property
+    def token_text(self) -> np.ndarray:
+        return self.owner(self.token_start)
+
+    @cached_property
+    def word_hash(self) -> np.ndarray:
+        return run_hashes(self.low, self.word_start, self.word_end)
 
     def runs(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Maximal runs of True that stay within a text."""
@@ -116,6 +134,10 @@ class Parsed:
 
     def odd(self) -> np.ndarray:
         """Which tokens hold a sign, or letters and digits together."""
+        return self._odd
+
+    @cached_property
+    def _odd(self) -> np.ndarray:
         sums = [np.r_[0, np.cumsum(self.kind == k)] for k in (SIGN, DIGIT, WORD)]
         sign, digit, word = (s[self.token_end] - s[self.token_start] for s in sums)
         return (sign > 0) | ((digit > 0) & (word > 0))
@@ -157,6 +179,10 @@ class Parsed:
 
     def thai_common(self) -> np.ndarray:
         """Code points of Thai that lie in a common word."""
+        return self._thai_common
+
+    @cached_property
+    def _thai_common(self) -> np.ndarray:
         covered = np.zeros(len(self.raw) + 1, np.int64)
         thai = (self.raw >= THAI[0]) & (self.raw <= THAI[1])
         if thai.any():
@@ -179,21 +205,35 @@ def _part(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 _THAI_WORD = 3.6
 
 
-def statistics(p: Parsed) -> np.ndarray:
-    """One row of the NAMES statistics per text; a text without words has zeros."""
-    solid = p.per_text(p.kind != BLANK)
+def _word_counts(p: Parsed) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """By text words outside of Thai, all words, common words, and which tokens are odd."""
     thai = (p.raw >= THAI[0]) & (p.raw <= THAI[1])
-    n_thai = p.per_text(thai & (p.kind == WORD))
-    letters = p.per_text(p.kind == WORD)
-    thai_words = n_thai / _THAI_WORD
     is_thai_word = thai[p.word_start] if len(p.word_start) else np.zeros(0, bool)
-    other_words = p.count(p.word_text, (~is_thai_word).astype(float))
-    words = other_words + thai_words
+    other = p.count(p.word_text, (~is_thai_word).astype(float))
     odd = p.odd()
-    is_common, thai_common = p.common_words(odd), p.thai_common()
-    common = p.count(p.word_text, is_common.astype(float)) + p.per_text(thai_common) / _THAI_WORD
+    common = p.count(p.word_text, p.common_words(odd).astype(float)) + p.per_text(p.thai_common()) / _THAI_WORD
+    return other, other + p.per_text(thai & (p.kind == WORD)) / _THAI_WORD, common, odd
+
+
+def prose_shares(p: Parsed) -> tuple[np.ndarray, np.ndarray]:
+    """``common_share`` and ``prose_share`` of ``statistics`` alone."""
+    _, words, common, _ = _word_counts(p)
+    return _part(common, words), _prose_share(p)
+
+
+def _prose_share(p: Parsed) -> np.ndarray:
     fresh = p.fresh()
-    prose = p.per_text(p.prosy(is_common, thai_common) & fresh)
+    prose = p.per_text(p.prosy(p.common_words(p.odd()), p.thai_common()) & fresh)
+    return _part(prose, p.per_text((p.kind != BLANK) & fresh))
+
+
+def statistics(p: Parsed) -> np.ndarray:
+    """One row of the NAMES statistics per text; a text without words has zeros."""
+    solid = p.per_text(p.kind != BLANK)
+    letters = p.per_text(p.kind == WORD)
+    n_thai = p.per_text((p.raw >= THAI[0]) & (p.raw <= THAI[1]) & (p.kind == WORD))
+    other_words, words, common, odd = _word_counts(p)
+    common_share, prose_share = _part(common, words), _prose_share(p)
     lines_start, lines_end = p.runs(p.raw != 10)
     filled = _filled(p, lines_start, lines_end)
     lines_start, lines_end = lines_start[filled], lines_end[filled]
@@ -204,8 +244,8 @@ def statistics(p: Parsed) -> np.ndarray:
     stops = _sentence_ends(p)
     tokens = p.count(p.token_text)
     return np.stack([
-        np.log1p(words), _part(letters - n_thai, other_words), _part(common, words), _part(p.per_text(p.kind == DIGIT), solid), _part(p.per_text(p.kind == SIGN), solid),
-        _part(ended, lines), _part(stops, words), np.log1p(_part(words, lines)), _part(p.count(p.token_text, odd.astype(float)), tokens), _part(letters, solid), _part(prose, p.per_text((p.kind != BLANK) & fresh)), _part(_distinct_words(p), p.count(p.word_text)),
+        np.log1p(words), _part(letters - n_thai, other_words), common_share, _part(p.per_text(p.kind == DIGIT), solid), _part(p.per_text(p.kind == SIGN), solid),
+        _part(ended, lines), _part(stops, words), np.log1p(_part(words, lines)), _part(p.count(p.token_text, odd.astype(float)), tokens), _part(letters, solid), prose_share, _part(_distinct_words(p), p.count(p.word_text)),
     ], axis=1)
 
 
