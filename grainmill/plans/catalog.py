@@ -12,7 +12,7 @@ from ..functions import text as T
 from ..functions.profiles import LENIENT_ARABIC, PROFILES, LanguageProfile
 from ..operators import compaction, consensus, dedup, overlap, quality, relational, tokens
 from ..session import fresh_path
-from ..sources import readers, writers
+from ..sources import readers, registry, writers
 from ..streaming import stream
 from . import oracle, pipeline
 
@@ -103,6 +103,12 @@ def _appended(t: DataFrame, path: str) -> None:
     writers.write_standard(t, path, source="again", mode="append")
 
 
+def _registry(spark: SparkSession, _: str) -> DataFrame:
+    """The public corpora and the patterns their files are fetched by."""
+    rows = [(lang, c.repo, c.subset, c.output, c.include) for lang in registry.CORPORA for c in registry.corpora(lang)]
+    return spark.createDataFrame(rows, "lang string, repo string, subset string, output string, include string")
+
+
 def _reported(t: DataFrame) -> DataFrame:
     """A report file, read back."""
     path = f"{fresh_path(t.sparkSession, 'report')}/tokens.json"
@@ -206,6 +212,7 @@ def queries() -> dict[str, Query]:
         "q_source_intersect": _docs(lambda t: overlap.source_intersect(t, "hplt2", "culturax")),
         "q_source_except": _docs(lambda t: overlap.source_except(t, "hplt2", "culturax")),
         "q_token_count": _docs(tokens.token_count),
+        "q_registry": _registry,
         "q_json_report": _docs(_reported),
         "q_subsets": _docs(_subsets),
         "q_quality_lang_score": _docs(_scored),

@@ -8,6 +8,7 @@ from ..functions import lexicons as lex
 from ..functions.profiles import LENIENT_ARABIC, PROFILES, LanguageProfile, alternation
 from ..functions.text import WS
 from ..operators import dedup
+from ..sources.registry import CORPORA
 
 
 #: The share of accented letters that the Italian letter rule asks for where it is turned on.
@@ -238,6 +239,8 @@ def sql() -> dict[str, str]:
     out = {
         "q_scan_standard": "SELECT doc_id, text, lang, source, domain FROM documents",
         "q_row_counts": "SELECT 'documents.parquet' AS file, count(*) AS rows FROM documents",
+        "q_registry": f"""SELECT lang, repo, subset, output, CASE WHEN subset IS NULL THEN NULL WHEN repo = 'allenai/c4' THEN 'multilingual/c4-' || subset || '*' WHEN split_part(repo, '/', 1) = 'HuggingFaceFW' THEN 'data/' || subset || '/*' ELSE subset || '/*' END AS include
+FROM (VALUES {', '.join(f"('{lang}', '{repo}', {q(subset) if subset else 'NULL'}, '{to}')" for lang, rows in CORPORA.items() for repo, subset, to in rows)}) AS c(lang, repo, subset, output)""",
         "q_json_lines": "SELECT text FROM documents WHERE text <> ''",
         "q_json_chunks": "SELECT text FROM documents WHERE text <> ''",
         "q_flagship": _yields(),
